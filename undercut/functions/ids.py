@@ -19,14 +19,21 @@ def string_hash(key: Column) -> Column:
     """31-based 32-bit string hash over UTF-16 code units, as a signed long."""
     mask = F.lit(0xFFFFFFFF)
 
-    def add(acc: Column, char: Column) -> Column:
+    def add_ascii(acc: Column, char: Column) -> Column:
+        return (acc * 31 + F.ascii(char)).bitwiseAND(mask)
+
+    def add_any(acc: Column, char: Column) -> Column:
         code = F.ascii(char).cast("long")
         beyond = code - 0x10000
         pair = (acc * 31 + 0xD800 + F.shiftright(beyond, 10)) * 31 + 0xDC00 + beyond.bitwiseAND(0x3FF)
         return F.when(code < 0x10000, acc * 31 + code).otherwise(pair).bitwiseAND(mask)
 
-    unsigned = F.aggregate(F.split(key, ""), F.lit(0).cast("long"), add)
-    return F.when(unsigned >= 1 << 31, unsigned - (1 << 32)).otherwise(unsigned)
+    chars, start = F.split(key, ""), F.lit(0).cast("long")
+    one_byte_each = F.octet_length(key) == F.length(key)
+    unsigned = F.when(one_byte_each, F.aggregate(chars, start, add_ascii)).otherwise(
+        F.aggregate(chars, start, add_any)
+    )
+    return unsigned - F.shiftright(unsigned, 31) * (1 << 32)
 
 
 def key_partition(key: Column, partitions: int, seed: int | None = None) -> Column:

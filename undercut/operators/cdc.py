@@ -48,11 +48,10 @@ def latest_by_key(rows: DataFrame, key: str, seq: str = "seq") -> DataFrame:
 
     ``max_by`` is combined before the shuffle, so a hot key costs one row per task.
     """
-    rest = [c for c in rows.columns if c != key]
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("row"))
-    return newest.where(~F.col("row.__deleted")).select(
-        key, *[F.col("row")[c].alias(c) for c in rest if c not in ("__deleted", seq, "source_table")]
-    )
+    rest = [c for c in rows.columns if c not in (key, seq, "source_table", "__deleted")]
+    image = F.struct(*rest, "__deleted")
+    newest = rows.groupBy(key).agg(F.max_by(image, F.col(seq)).alias("row"))
+    return newest.where(~F.col("row.__deleted")).select(key, *[F.col("row")[c].alias(c) for c in rest])
 
 
 def route_topic(source_table: Column, routes: Mapping[str, str] = ROUTES) -> Column:

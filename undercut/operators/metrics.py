@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from undercut.operators.features import has_features
 from undercut.schemas import SERIES_HISTORY
 
-# Rows of a metric text that carry a sample, and a leading number.
-SAMPLE_LINE = r"^(.+) ([^ ]*)$"
+# Fixed value: the number a sample's text begins with.
 LEADING_NUMBER = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 
 
@@ -31,15 +30,16 @@ def counter_rate(samples: DataFrame, range_s: int = 60, slice_ranges: int = 16)
     """
     reach, slice_us = range_s * 1_000_000, range_s * slice_ranges * 1_000_000
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    spill = F.col("_us") >= (F.col("_home") + 1) * slice_us - reach
-    slices = F.when(spill, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array(F.col("_home")))
+    home = F.col("_us") - F.pmod("_us", F.lit(slice_us))
+    following = F.col("_home") + slice_us
+    slices = F.when(F.col("_us") >= following - reach, F.array("_home", following)).otherwise(F.array("_home"))
 
     forward = W.partitionBy("series", "_slice").orderBy("_us")
     before = F.lag("value").over(forward)
     step = F.when(before.isNull(), 0.0).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
     totals = (
         samples.select("series", "ts", F.col("value").cast("double").alias("value"), at.alias("_us"))
-        .withColumn("_home", F.floor(F.col("_us") / slice_us))
+        .withColumn("_home", home)
         .withColumn("_slice", F.explode(slices))
         .withColumn("_step", step)
         .withColumn("_total", F.sum("_step").over(forward.rowsBetween(W.unboundedPreceding, 0)))
@@ -84,20 +84,27 @@ def parse_metric_lines(lines: DataFrame, prefix: str = "") -> DataFrame:
     at the label brace, the value is the leading number after the last blank, and
     the last line of a name wins.
     """
-    trimmed = F.regexp_replace("line", r"^\s+|\s+$", "")
-    named = F.regexp_replace(F.regexp_extract("_t", SAMPLE_LINE, 1), r"^\s+|\s+$", "")
-    number = F.regexp_extract(F.regexp_extract("_t", SAMPLE_LINE, 2), LEADING_NUMBER, 1)
-    value = F.expr("try_cast(_number AS double)")
+    blanks = F.lit(" \t\r\f\x0b")
+
+    def sample(line: Column) -> Column:
+        last = F.substring_index(line, " ", -1)
+        named = F.btrim(F.left(line, F.length(line) - F.length(last) - 1), blanks)
+        name = F.substring_index(named, "{", 1)
+        number = F.nullif(F.regexp_extract(last, LEADING_NUMBER, 1), F.lit(""))
+        has_name = F.startswith(line, F.lit(prefix)) & F.contains(line, F.lit(" "))
+        return F.when(
+            has_name & ~F.startswith(line, F.lit("#")),
+            F.struct(name.alias("name"), number.try_cast("double").alias("value")),
+        )
+
+    # transform binds the trimmed line once; explode drops lines that hold no sample.
+    samples = F.array_compact(F.transform(F.array(F.btrim("line", blanks)), sample))
     return (
-        lines.withColumn("_t", trimmed)
-        .where(~F.startswith("_t", F.lit("#")) & F.regexp_like("_t", F.lit(SAMPLE_LINE)))
-        .withColumn("name", F.substring_index(named, "{", 1))
-        .where(F.startswith("name", F.lit(prefix)))
-        .withColumn("_number", number)
-        .withColumn("value", value)
-        .where(F.abs("value") < float("inf"))
-        .groupBy("source", "name")
-        .agg(F.max_by("value", "pos").alias("value"))
+        lines.where(F.contains("line", F.lit(prefix)))
+        .withColumn("sample", F.explode(samples))
+        .where(F.startswith("sample.name", F.lit(prefix)) & (F.abs("sample.value") < float("inf")))
+        .groupBy("source", F.col("sample.name").alias("name"))
+        .agg(F.max_by("sample.value", "pos").alias("value"))
     )
 
 

@@ -62,21 +62,23 @@ def decode_json_rows(df: DataFrame, value: str, schema: T.StructType) -> DataFra
     stop after the first value, so the text is parsed between a bracket and a
     sentinel: only one whole JSON value leaves the sentinel in second place.
     """
-    text = F.trim(F.regexp_replace(F.col(value), r"^[\t\r\n ]+|[\t\r\n ]+$", ""))
-    wrapped = F.concat(F.lit("["), F.col("_text"), F.lit(f',"{_SENTINEL}"]'))
+    text = F.btrim(F.col(value), F.lit(" \t\r\n"))
+    wrapped = F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]'))
     items = F.try_variant_get(F.try_parse_json(wrapped), "$", "array<variant>")
-    whole = (F.size(F.col("_items")) == 2) & (
-        F.try_variant_get(F.get(F.col("_items"), F.lit(1)), "$", "string") == _SENTINEL
-    )
-    is_object = F.schema_of_variant(F.get(F.col("_items"), F.lit(0))).startswith("OBJECT")
+
+    def kind(parsed: Column) -> Column:
+        last = F.try_variant_get(F.get(parsed, F.lit(1)), "$", "string")
+        first = F.schema_of_variant(F.get(parsed, F.lit(0)))
+        return F.when((F.size(parsed) == 2) & (last == _SENTINEL), first)
+
+    # Parsed once per row: transform binds the result and explode drops what has no kind.
+    kinds = F.when(F.col(value) == "", F.array(F.lit(""))).otherwise(F.transform(F.array(items), kind))
     decoded = (
         df.where(F.col(value).isNotNull())
-        .withColumn("_text", text)
-        .withColumn("_items", items)
-        .where((F.col(value) == "") | whole)
-        .withColumn("_object", (F.col(value) != "") & is_object)
-        .withColumn("_decoded", F.from_json(F.when(F.col("_object"), F.col("_text")), schema))
-        .withColumn("_raw", F.when((F.col(value) != "") & ~F.col("_object"), F.col("_text")))
+        .withColumn("_kind", F.explode(F.array_compact(kinds)))
+        .withColumn("_object", F.startswith("_kind", F.lit("OBJECT")))
+        .withColumn("_decoded", F.from_json(F.when(F.col("_object"), text), schema))
+        .withColumn("_raw", F.when(~F.col("_object") & (F.col("_kind") != ""), text))
     )
     kept = [c for c in df.columns if c != value]
     return decoded.select(*kept, *[F.col("_decoded")[f.name].alias(f.name) for f in schema.fields], "_raw")

@@ -14,6 +14,7 @@ from undercut.operators import cdc, enrich, features, hopping, metrics, model, q
 from undercut.plans import inputs
 from undercut.plans.inputs import project, project_stream, table
 from undercut.schemas import AGGREGATES, DEAD_LETTER, PREDICTION, RETENTION_MS, TELEMETRY, TOPIC_PARTITIONS
+from undercut.session import METHOD_LIMIT
 from undercut.sources.sinks import as_json_rows, read_batches
 from undercut.streaming.aggregation import read_aggregates, start_aggregation
 from undercut.streaming.enrichment import read_enriched, start_enrichment
@@ -35,6 +36,7 @@ def query(function: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set(*METHOD_LIMIT)
         return function(spark, sf_dir)
 
     run.__doc__ = function.__doc__
@@ -91,8 +93,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def positioned(df: DataFrame, partitions: int) -> DataFrame:
     """Rows as records of a topic: ids dealt out over the partitions."""
-    n = F.lit(partitions)
-    return recent.with_position(df, F.col("event_id") % n, F.floor(F.col("event_id") / n))
+    return recent.with_position(df, F.col("event_id") % partitions, F.expr(f"event_id div {partitions}"))
 
 
 # Scans, event time, identifiers

@@ -27,7 +27,6 @@ def stop(spark: SparkSession, names: Iterable[str] | None = None) -> list[str]:
     wanted = sorted(running if names is None else set(names) & set(running))
     for name in wanted:
         running[name].stop()
-        running[name].awaitTermination()
     return wanted
 
 
