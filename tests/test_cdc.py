@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from undercut.operators.cdc import latest_by_key, route_topic, snapshot_changes, unwrap_changes, within_retention
+from undercut.operators.cdc import compact_changes, latest_by_key, route_topic, snapshot_changes, unwrap_changes, within_retention
 from undercut.schemas import DRIVERS, changes_schema
 from undercut.sources.changes import read_changes, read_dimension
 
@@ -44,6 +44,14 @@ def test_latest(spark):
     assert {(r.driver_id, r.full_name) for r in latest.collect()} == {("D1", "new"), ("D4", "again")}
 
 
+def test_compaction_keeps_the_latest_values(spark):
+    compact = compact_changes(log(spark))
+    assert compact.columns == log(spark).columns
+    assert {(r.key, r.seq, r.op) for r in compact.collect()} == {("D1", 5, "u"), ("D2", 6, "d"), ("D3", 9, None), ("D4", 12, "c")}
+    latest = [latest_by_key(unwrap_changes(c, "driver_id"), "driver_id") for c in (log(spark), compact)]
+    assert sorted(latest[0].collect()) == sorted(latest[1].collect())
+
+
 def test_dimension_from_files_sees_new_rows(spark, folder):
     log(spark).where("seq < 5").write.parquet(folder)
     assert read_changes(spark, folder, DRIVERS).count() == 2
@@ -60,7 +68,7 @@ def test_snapshot(spark):
 
 
 def test_routes_match_the_whole_name(spark):
-    names = ["aero.public.circuits", "x.public.drivers", "x.public.drivers_old", "a.b.public.circuits", "other"]
+    names = ["racing.public.circuits", "x.public.drivers", "x.public.drivers_old", "a.b.public.circuits", "other"]
     df = spark.createDataFrame([(n,) for n in names], "t string").select(route_topic(F.col("t")))
     assert [r[0] for r in df.collect()] == [
         "circuit-metadata", "driver-profiles", "x.public.drivers_old", "a.b.public.circuits", "other",

@@ -54,6 +54,19 @@ def latest_by_key(rows: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     return newest.where(~F.col("row.__deleted")).select(key, *[F.col("row")[c].alias(c) for c in rest])
 
 
+def compact_changes(changes: DataFrame) -> DataFrame:
+    """Newest change record per key, deletes and tombstones among them.
+
+    The result is a change log with the same latest values. A job that reads a
+    dimension often reads this and the changes since, not the whole history.
+    """
+    rest = [c for c in changes.columns if c not in ("key", "seq")]
+    newest = changes.groupBy("key").agg(
+        F.max("seq").alias("seq"), F.max_by(F.struct(*rest), F.col("seq")).alias("row")
+    )
+    return newest.select(*[c if c in ("key", "seq") else F.col("row")[c].alias(c) for c in changes.columns])
+
+
 def route_topic(source_table: Column, routes: Mapping[str, str] = ROUTES) -> Column:
     """Name of the output of a record: the first pattern matching the whole name."""
     target = source_table

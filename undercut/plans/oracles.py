@@ -355,6 +355,12 @@ ORACLES: dict[str, str] = {
         WHERE rn = 1 AND op IS NOT NULL AND op <> 'd'""",
         **CHANGES_VIEWS,
     ),
+    "cdc_compact": with_inputs(
+        f"""SELECT key, seq, op, CASE WHEN NOT {GONE} THEN o_totalprice END AS o_totalprice
+        FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM changes) AS c
+        WHERE rn = 1""",
+        **CHANGES_VIEWS,
+    ),
     "within_retention": """SELECT event_id, epoch_us(ts) // 1000 AS timestamp_ms FROM events
         WHERE epoch_us(ts) // 1000 >= (SELECT max(epoch_us(ts) // 1000) FROM events) - 86400000""",
     "counter_rate": RATE_SQL,

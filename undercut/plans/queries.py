@@ -256,15 +256,17 @@ def pit_label_rule(spark, sf_dir):
     return rows.select("event_id", features.label_rule(F.col("wear"), F.col("fuel")).alias("label"))
 
 
+MODELS: dict[str, PipelineModel] = {}
+
+
 def trained_model(spark: SparkSession) -> PipelineModel:
-    """The session's model: trained once, kept in the shared folder, then loaded."""
-    setting = "undercut.model.path"
-    path = spark.conf.get(setting, None)
-    if path is None:
+    """The application's model: trained once, kept in the shared folder, loaded once."""
+    app = spark.sparkContext.applicationId
+    if app not in MODELS:
         path = shared_folder(spark, "pit-model")
         model.save(model.train(features.training_table(spark)), path)
-        spark.conf.set(setting, path)
-    return model.load(path)
+        MODELS[app] = model.load(path)
+    return MODELS[app]
 
 
 @query
@@ -429,6 +431,11 @@ def dim_latest(spark, sf_dir):
     return cdc.latest_by_key(cdc.unwrap_changes(changes(spark, sf_dir), "o_custkey"), "o_custkey")
 
 
+@query
+def cdc_compact(spark, sf_dir):
+    return cdc.compact_changes(changes(spark, sf_dir)).select("key", "seq", "op", "after.o_totalprice")
+
+
 @query
 def within_retention(spark, sf_dir):
     at = F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms")

@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
 SETTINGS = {
     METHOD_LIMIT[0]: METHOD_LIMIT[1],
+    # Recording the Python line of every column expression takes longer than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
