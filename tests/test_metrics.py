@@ -51,12 +51,14 @@ def test_latest_and_recent(spark):
     df = spark.createDataFrame(
         [("hot", start + dt.timedelta(seconds=i), float(i)) for i in range(500)] + [("cold", start, 1.0)],
         "series string, ts timestamp_ntz, value double",
-    )
+    ).repartition(5)
     assert {(r.series, r.value) for r in metrics.metric_latest(df).collect()} == {("hot", 499.0), ("cold", 1.0)}
     recent = metrics.recent_series(df)
     values = sorted(r.value for r in recent.where("series = 'hot'").collect())
     assert values == [float(i) for i in range(428, 500)] and recent.count() == 73
-    assert "WindowGroupLimit" in recent._jdf.queryExecution().executedPlan().toString()
+    assert metrics.recent_series(df, keep=3, salts=2).count() == 4
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4  # before and after each shuffle
 
 
 TEXT = """# HELP up_total things 5

@@ -67,14 +67,24 @@ def metric_latest(samples: DataFrame) -> DataFrame:
     return samples.groupBy("series").agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
 
 
-def recent_series(samples: DataFrame, keep: int = SERIES_HISTORY) -> DataFrame:
+def recent_series(samples: DataFrame, keep: int = SERIES_HISTORY, salts: int = 64) -> DataFrame:
     """Last ``keep`` samples per series, numbered from the newest.
 
-    The planner limits each group before the shuffle, so a series sends at most
-    ``keep`` rows per task.
+    The planner limits each group before a shuffle, so a series sends ``keep`` rows per
+    task. Those of a hot series are first cut again in ``salts`` groups of tasks, and
+    the last step sees at most ``keep * salts`` rows of any series.
     """
-    newest = W.partitionBy("series").orderBy(F.desc("ts"), F.desc("value"))
-    return samples.withColumn("age", F.row_number().over(newest)).where(F.col("age") <= keep)
+    newest = [F.desc("ts"), F.desc("value")]
+    part = W.partitionBy("series", "_salt").orderBy(*newest)
+    whole = W.partitionBy("series").orderBy(*newest)
+    return (
+        samples.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        .withColumn("_age", F.row_number().over(part))
+        .where(F.col("_age") <= keep)
+        .drop("_salt", "_age")
+        .withColumn("age", F.row_number().over(whole))
+        .where(F.col("age") <= keep)
+    )
 
 
 def parse_metric_lines(lines: DataFrame, prefix: str = "") -> DataFrame:
