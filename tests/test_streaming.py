@@ -17,7 +17,7 @@ from undercut.streaming.aggregation import read_aggregates, start_aggregation
 from undercut.streaming.enrichment import read_enriched, start_enrichment
 from undercut.streaming.quarantine import start_quarantine
 from undercut.streaming.scoring import ScoringCounters, start_scoring
-from undercut.streaming.settings import shared_folder
+from undercut.shared import shared_folder
 
 NOW = {"availableNow": True}
 

@@ -1,9 +1,7 @@
-"""Folders and settings of streaming jobs."""
+"""Settings of streaming jobs."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -12,20 +10,6 @@ from pyspark.sql import SparkSession
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the session's ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder; on a
-    cluster executors could not see one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="undercut-")
-    return f"{base}/{purpose}-{uuid.uuid4().hex}"
-
-
 @contextmanager
 def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
     """Settings in force while a streaming query is started, which copies them."""
