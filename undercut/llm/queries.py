@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import quality, sharding
+from undercut.llm import packing, quality, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,3 +34,17 @@ def op7_quality_rules(spark, sf_dir):
     judged = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     names = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
     return judged.select(*names, F.round("quality", 6).alias("quality"))
+
+
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=1024)
+    return packed.withColumn("length", F.col("length").cast("long"))
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
