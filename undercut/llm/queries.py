@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import packing, quality, sharding, token_counts
+from undercut.llm import decontamination, packing, quality, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_benchmark_passages(spark, sf_dir):
+    found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
+        decontamination.contaminated().alias("contaminated"),
+    )
+
+
 @query
 def op3_shard_by_bytes(spark, sf_dir):
     laid = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=16)

@@ -67,7 +67,9 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
 
 def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes with a space after each text, and where each text starts (one more at the end)."""
-    parts = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), "", " ")
+    large = pa.large_string()
+    texts = pc.fill_null(texts.cast(large), pa.scalar("", large))
+    parts = pc.binary_join_element_wise(texts, pa.scalar("", large), pa.scalar(" ", large))
     if isinstance(parts, pa.ChunkedArray):
         parts = parts.combine_chunks()
     starts = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1]
