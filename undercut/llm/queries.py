@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import decontamination, packing, quality, sharding, token_counts
+from undercut.llm import decontamination, packing, quality, sharding, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +57,11 @@ def op8_best_fit_packing(spark, sf_dir):
     return packed.withColumn("length", F.col("length").cast("long"))
 
 
+@query
+def op9_repeated_passages(spark, sf_dir):
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_counts(spark, sf_dir):
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
