@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from undercut.llm.textbytes import SPACED, joined, mix, slices
 
-#: A chunk ends where the lowest bits of the gear hash are all zero, 1 byte in 32 on
-#: average, but holds so many bytes at least and at most. The hash covers 32 bytes.
-CUT_BITS, LEAST, MOST = np.uint32((1 << 5) - 1), 16, 256
+#: A chunk ends where the 5 highest bits of the gear hash, the ones that all of the last 32
+#: bytes reach, are zero: 1 byte in 32 on average. It holds so many bytes at least and at most.
+CUT_BELOW, LEAST, MOST = np.uint32(1 << 27), 12, 256
 #: The gear: a fixed random number for each byte.
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 #: Words of a run of repeated chunks that counts as a passage. Chunks at both ends of a
@@ -56,7 +56,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch):
             data, starts = joined(rows.column("text"))
-            allowed = np.flatnonzero((gear_hashes(data) & CUT_BITS) == 0) + 1
+            allowed = np.flatnonzero(gear_hashes(data) < CUT_BELOW) + 1
             bounds = np.searchsorted(allowed, starts)
             inside = np.concatenate(([False], SPACED[data]))
             begun = np.concatenate(([0], np.cumsum(inside[1:] & ~inside[:-1])))
