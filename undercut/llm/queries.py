@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import decontamination, packing, quality, sharding, substrings, token_counts
+from undercut.llm import decontamination, near_duplicates, packing, quality, sharding, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +43,14 @@ def op3_shard_by_bytes(spark, sf_dir):
     return laid.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query
+def op5_near_duplicates(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grouped = near_duplicates.group(documents, width=2, percent=80)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return grouped.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     judged = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
