@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import decontamination, near_duplicates, packing, quality, sharding, substrings, token_counts
+from undercut.llm import decontamination, near_duplicates, packing, personal_data, quality, sharding, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_personal_data(spark, sf_dir):
+    found = personal_data.find(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    counts = {f"n_{kind}": F.size(personal_data.of_kind("base", kind)).cast("long") for kind in personal_data.KINDS}
+    spans = F.array_sort(F.concat("base", "added"))
+    return found.select(
+        "doc_id",
+        *(n.alias(name) for name, n in counts.items()),
+        F.sha2(personal_data.span_list(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        personal_data.span_list(spans).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 @query
 def op2_benchmark_passages(spark, sf_dir):
     found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
