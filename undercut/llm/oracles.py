@@ -1,3 +1,28 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op4_chat_text"] = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+placed AS (
+  SELECT *, count(*) OVER (PARTITION BY conv_id) AS n,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) AS place
+  FROM turns WHERE conv_id IS NOT NULL
+  UNION ALL SELECT *, 1, 1 FROM turns WHERE conv_id IS NULL
+),
+rolled AS (
+  SELECT conv_id, n, place, CASE WHEN conv_id IS NULL THEN [{'r': role, 't': text}]
+    ELSE list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY place) END AS so_far
+  FROM placed
+),
+kept AS (
+  SELECT min(conv_id) AS conv_id, n AS turns, count(*) AS copies
+  FROM rolled WHERE place = n AND so_far NOT IN (SELECT so_far FROM rolled WHERE place < n)
+  GROUP BY n, so_far
+)
+SELECT k.conv_id, CAST((p.place - 1) // 64 AS BIGINT) AS segment, k.turns, k.copies,
+  string_agg('<|' || coalesce(p.role, '') || '|>' || chr(10) || coalesce(p.text, '') || chr(10) || '<|end|>' || chr(10), ''
+    ORDER BY p.place) AS text
+FROM kept k JOIN placed p ON k.conv_id = p.conv_id
+GROUP BY ALL
+"""

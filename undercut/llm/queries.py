@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import decontamination, near_duplicates, packing, personal_data, quality, sharding, substrings, token_counts
+from undercut.llm import conversations, decontamination, near_duplicates, packing, personal_data, quality, sharding, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +57,11 @@ def op3_shard_by_bytes(spark, sf_dir):
     return laid.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query
+def op4_chat_text(spark, sf_dir):
+    return conversations.render(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op5_near_duplicates(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
