@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import conversations, decontamination, near_duplicates, packing, personal_data, quality, sharding, substrings, token_counts
+from undercut.llm import conversations, decontamination, language_model, near_duplicates, packing, personal_data, quality, sharding, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +70,11 @@ def op5_near_duplicates(spark, sf_dir):
     return grouped.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+@query
+def op6_context_tree_scores(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     judged = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])

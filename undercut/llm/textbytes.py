@@ -83,9 +83,8 @@ class Words:
     def __init__(self, texts: pa.Array, letters: np.ndarray, lower: bool = True):
         data, self.texts = joined(texts)
         self.data = LOWER[data] if lower else data
-        inside = np.zeros(len(data) + 1, np.int8)
-        inside[1:] = letters[self.data]
-        step = np.diff(inside)
+        self.inside = letters[self.data]
+        step = np.diff(self.inside.astype(np.int8), prepend=np.int8(0))
         self.starts = np.flatnonzero(step == 1)
         self.ends = np.flatnonzero(step == -1)
         self.first = np.searchsorted(self.starts, self.texts)
