@@ -20,15 +20,15 @@ from undercut.shared import materialise
 
 #: Bytes of context. A gram is the next byte and its context in one number: the next byte
 #: lowest, then the last byte, the one before it, and so on.
-DEPTH = 4
+DEPTH = 5
 BETWEEN, END = 0x20, 0x0A
 GRAM, TOKEN = 0, 1
 #: The token that ends each text; no word's hash, but for a chance of 2 to the power -64.
 END_TOKEN = mix(np.array([0x656E64], np.uint64))[0]
 #: Distinct keys gathered before they leave a task.
 GATHERED = 1 << 20
-#: The most frequent grams and words that go to all tasks, 16 bytes each: 8 MB at most.
-FREQUENT = 1 << 18
+#: The most frequent grams and words that go to all tasks, 16 bytes each: 20 MB at most.
+FREQUENT_GRAMS, FREQUENT_WORDS = 1 << 20, 1 << 18
 SMOOTHING = 0.1
 
 
@@ -40,7 +40,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 class Stream:
     """The tokens of many texts, and the gram at each of their bytes."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, depth: int = DEPTH):
         self.words = words = Words(texts, SPACED)
         n = len(words.texts) - 1
         data, keep = words.data.copy(), words.inside.copy()
@@ -51,13 +51,13 @@ class Stream:
         data[last] = END
         lengths = np.add.reduceat(keep.astype(np.int64), words.texts[:-1]) if n else np.zeros(0, np.int64)
         self.starts = np.concatenate(([0], np.cumsum(lengths)))
-        self.grams = self._grams(data[keep])
+        self.grams = self._grams(data[keep], depth)
 
-    def _grams(self, stream: np.ndarray) -> np.ndarray:
+    def _grams(self, stream: np.ndarray, depth: int) -> np.ndarray:
         """Before a text lie line ends, as after any other."""
         place = np.arange(len(stream)) - np.repeat(self.starts[:-1], np.diff(self.starts))
         code = stream.astype(np.uint64)
-        for back in range(1, DEPTH + 1):
+        for back in range(1, depth + 1):
             byte = np.full(len(stream), END, np.uint64)
             byte[back:] = np.where(place[back:] >= back, stream[:-back], END)
             code |= byte << np.uint64(8 * back)
@@ -94,12 +94,12 @@ class _Tally:
         return out
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gather(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
     """Counts of grams and tokens in training texts; what only held-out texts have counts 0."""
     tallies = _Tally(GRAM), _Tally(TOKEN)
     for batch in batches:
         for rows in slices(batch):
-            stream = Stream(rows.column("text"))
+            stream = Stream(rows.column("text"), depth)
             learned = ~rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             tallies[GRAM].add(stream.grams, np.repeat(learned, np.diff(stream.starts)))
             keys, starts = stream.tokens
@@ -170,7 +170,7 @@ def bits_of(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 SHARED = 2
 
 
-def _subtree(frame: pd.DataFrame) -> pd.DataFrame:
+def _subtree(frame: pd.DataFrame, depth: int) -> pd.DataFrame:
     """One subtree's grams with the probability of each bit, mixed from the deepest contexts up to its root.
 
     The root's nodes come along on the gram where they are seen first.
@@ -180,7 +180,7 @@ def _subtree(frame: pd.DataFrame) -> pd.DataFrame:
     grams, n = grams[order], frame["n"].to_numpy()[order]
     node, bit = bits_of(grams)
     many, wide = np.repeat(n, 8), np.repeat(grams, 8) >> np.uint64(8)
-    levels = [Level(wide & np.uint64((1 << 8 * d) - 1), node, bit, many) for d in range(SHARED, DEPTH + 1)]
+    levels = [Level(wide & np.uint64((1 << 8 * d) - 1), node, bit, many) for d in range(SHARED, depth + 1)]
     chance = levels[-1].mixed(bit)
     for above, below in zip(levels[-2::-1], levels[:0:-1], strict=True):
         above.above(below)
@@ -226,21 +226,21 @@ def _gram_scores(batches: Iterator[pa.RecordBatch], top: Top) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), scores], ["key", "n", "value"])
 
 
-def context_tree(grams: DataFrame) -> DataFrame:
+def context_tree(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Log10 probability of the next byte for each gram: (key, n, value).
 
-    Every byte is eight binary decisions. At each context of 0 to ``DEPTH`` bytes, a
+    Every byte is eight binary decisions. At each context of 0 to ``depth`` bytes, a
     decision's node holds the counts of its bits in training; its weighted probability
     is half that of its own estimator and half the product of those of all contexts one
     byte longer. The chance of a bit mixes the estimators along its context by their
     posterior shares; nodes never seen give one half. Contexts that end with the same two
-    bytes are one group (65 536 groups, of at most 256^3 grams, whatever the corpus);
-    what lies above them is summed natively and collected, 65 280 rows at most.
+    bytes are one group of distinct grams; what lies above those groups is summed natively
+    and collected, 65 280 rows at most.
     """
     group = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * SHARED) - 1))
     nodes = "array<struct<node:bigint,zeros:double,ones:double,weighted:double>>"
     trees = grams.groupBy(group.alias("ending")).applyInPandas(
-        lambda frame: _subtree(frame), f"key long, n long, chances array<double>, nodes {nodes}"
+        lambda frame: _subtree(frame, depth), f"key long, n long, chances array<double>, nodes {nodes}"
     )
     trees = materialise(trees, "context-trees")
     roots = trees.select(F.shiftright("key", 8).bitwiseAND(F.lit(255)).alias("last"), F.inline("nodes"))
@@ -296,13 +296,13 @@ def _rare(kind: int, keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ..
 
 
 def _scored(
-    batches: Iterator[pa.RecordBatch], grams: tuple[np.ndarray, np.ndarray], words: tuple[np.ndarray, np.ndarray], all_: float
+    batches: Iterator[pa.RecordBatch], grams: tuple[np.ndarray, np.ndarray], words: tuple[np.ndarray, np.ndarray], all_: float, depth: int
 ) -> Iterator[pa.RecordBatch]:
     """Sums over each text's frequent grams and tokens, and how often it has which others."""
     gram_table, word_table = Lookup(*grams), Lookup(*words)
     for batch in batches:
         for rows in slices(batch):
-            stream = Stream(rows.column("text"))
+            stream = Stream(rows.column("text"), depth)
             values = gram_table.find(stream.grams)
             missing = np.flatnonzero(np.isnan(values))
             of = lambda starts, at: np.searchsorted(starts, at, side="right") - 1
@@ -328,7 +328,9 @@ def _scored(
             )
 
 
-def score(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def score(
+    docs: DataFrame, depth: int = DEPTH, frequent_grams: int = FREQUENT_GRAMS, frequent_words: int = FREQUENT_WORDS
+) -> DataFrame:
     """Every document's log10 probability by words (``base_score``) and by context trees (``score``).
 
     Both models learn from the documents that are not held out. Grams and words are
@@ -343,18 +345,18 @@ def score(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """
     docs = docs.select("doc_id", "text", held_out().alias("held_out"))
     kind = dict(docs.dtypes)["doc_id"]
-    counts = docs.select("text", "held_out").mapInArrow(_gather, "kind int, key long, n long")
+    counts = docs.select("text", "held_out").mapInArrow(functools.partial(_gather, depth=depth), "kind int, key long, n long")
     counts = materialise(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     tokens = counts.where(F.col("kind") == TOKEN)
     total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.count("*").alias("distinct")).first()
     all_ = total["all"] + SMOOTHING * (total["distinct"] + 1)
-    grams = materialise(context_tree(counts.where(F.col("kind") == GRAM).select("key", "n")), "gram-scores")
+    grams = materialise(context_tree(counts.where(F.col("kind") == GRAM).select("key", "n"), depth), "gram-scores")
 
-    def top(df: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    def top(df: DataFrame, value: str, frequent: int) -> tuple[np.ndarray, np.ndarray]:
         found = df.orderBy(F.desc("n"), "key").limit(frequent).select("key", F.col(value).cast("double").alias("value")).toPandas()
         return found["key"].to_numpy(np.int64).view(np.uint64), found["value"].to_numpy(float)
 
-    scored = functools.partial(_scored, grams=top(grams, "value"), words=top(tokens, "n"), all_=all_)
+    scored = functools.partial(_scored, grams=top(grams, "value", frequent_grams), words=top(tokens, "n", frequent_words), all_=all_, depth=depth)
     schema = (
         f"doc_id {kind}, held_out boolean, n_bytes long, n_tokens long, n_known long, base_score double, score double, "
         "rare array<struct<kind:int,key:bigint,times:bigint>>"
