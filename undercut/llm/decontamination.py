@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from undercut.llm.columns import own_names
 from undercut.llm.textbytes import ALNUM, Words, grams, mix, slices
 
 #: Words of a passage that counts as known.
@@ -140,8 +141,8 @@ def text_key(text: str = "text") -> dict[str, Column]:
     return {"t1": F.xxhash64(F.col(text)), "t2": F.xxhash64(F.lit("second"), F.col(text))}
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id with its words, the words inside any benchmark window, their spans and the items.
+def find_passages(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in ``carry`` with the text's words, the words inside any benchmark window, their spans and the items.
 
     A window is 13 consecutive words of an item, or a shorter item whole. Fingerprints of
     documents meet those of the benchmark in one equi-join, which broadcasts the smaller
@@ -152,9 +153,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A null text has no words. Items without words hold no window; an item with a null id
     hits words and stands in ``items`` as null. Repeated rows on either side change
     nothing but the number of rows returned. Empty tables give no rows, or no hits.
-    Other columns are ignored.
+    Columns that are not named in ``carry`` are ignored.
     """
-    docs = docs.select("doc_id", "text").withColumns(text_key())
+    docs = docs.select(*(F.col(c).alias(f"own_{i}") for i, c in enumerate(carry)), "text").withColumns(text_key())
     items = benchmark.select("item_id", "text")
     types = dict(docs.dtypes) | dict(items.dtypes)
     prints = items.mapInArrow(
@@ -169,13 +170,15 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     fields = F.struct("pos", "item_id", "at", "gram", "need", "around")
     hits = hits.agg(F.collect_set(fields).alias("hits"))
     item_type = pa.schema(_arrow_field(items.schema["item_id"])).field(0).type
+    own = [f"own_{i}" for i in range(len(carry))]
     schema = (
-        f"doc_id {types['doc_id']}, n_words long, n_hit long, spans array<struct<start:int,end:int>>, "
-        f"items array<{types['item_id']}>"
+        "".join(f"{c} {types[c]}, " for c in own)
+        + f"n_words long, n_hit long, spans array<struct<start:int,end:int>>, items array<{types['item_id']}>"
     )
-    return docs.join(hits, ["t1", "t2"], "left").select("doc_id", "text", "hits").mapInArrow(
+    marked = docs.join(hits, ["t1", "t2"], "left").select(*own, "text", "hits").mapInArrow(
         functools.partial(_marked, item_type=item_type), schema
     )
+    return marked.withColumnsRenamed(dict(zip(own, carry, strict=True)))
 
 
 def _arrow_field(field):
@@ -187,3 +190,9 @@ def _arrow_field(field):
 def contaminated() -> Column:
     """At least a twentieth of the words are hit."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that hold too little of the benchmark, with their own columns."""
+    own, back = own_names(docs, "text")
+    return back(find_passages(own, benchmark, tuple(own.columns)).where(~contaminated()))

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from undercut.llm.columns import own_names
 from undercut.llm.components import connected
 from undercut.llm.textbytes import SPACED, Words, grams, mix, slices
 from undercut.shared import materialise
@@ -226,3 +227,9 @@ def _unsettled(members: DataFrame, labels: DataFrame, sketches: DataFrame, perce
     once = (F.col("b.label") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node"))
     met = left.join(right, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label")) & once & _alike(percent))
     return met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
+
+
+def drop_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group, with its own columns."""
+    own, back = own_names(docs, "doc_id", "text")
+    return back(group(own, width, percent).where("keeper"))

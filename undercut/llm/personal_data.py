@@ -8,6 +8,7 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from undercut.llm.columns import own_names
 from undercut.shared import materialise
 
 # Patterns with possessive repeats, which neither backtrack nor recurse. A match can only
@@ -219,19 +220,31 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced by its kind and disclosing words generalised or removed.
 
     ``n_chars`` follows the text where the table has it. Overlapping spans are replaced
-    by the first one's kind.
+    by the first one's kind. A text is put together in blocks of spans, so that the work
+    stays near its length.
     """
-    df = find(docs).withColumn("_all", F.array_sort(F.concat("base", "added")))
-
-    def kept(state, s):
-        free = s["start"] >= state["at"]
-        label = F.when(s["kind"] == TERM, s["value"]).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        piece = F.when(free, F.concat(F.substring("text", state["at"] + 1, s["start"] - state["at"]), label)).otherwise("")
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], piece).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda s: F.concat(s["out"], F.substring("text", s["at"] + 1, F.length("text")))
-    df = df.withColumn("text", F.when(F.size("_all") > 0, F.aggregate("_all", start, kept, rest)).otherwise(F.col("text")))
+    own, back = own_names(docs, "text", "n_chars")
+    df = find(own).withColumn("_all", F.array_sort(F.concat("base", "added")))
+
+    def inner(outer, segment):
+        def step(state, s):
+            label = F.when(s["kind"] == TERM, s["value"]).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+            before = F.substring(segment, state["at"] - outer + 1, s["start"] - state["at"])
+            piece = F.when(s["start"] >= state["at"], F.concat(before, label)).otherwise("")
+            return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], piece).alias("out"))
+
+        return step
+
+    def outer(state, block):
+        end = F.greatest(state["at"], F.array_max(F.transform(block, lambda s: s["end"])))
+        segment = F.substring("text", state["at"] + 1, end - state["at"])
+        begin = F.struct(state["at"].alias("at"), F.lit("").alias("out"))
+        done = F.aggregate(block, begin, inner(state["at"], segment), lambda s: s["out"])
+        return F.struct(end.alias("at"), F.concat(state["done"], F.array(done)).alias("done"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
+    rest = lambda s: F.concat(F.array_join(s["done"], ""), F.substring("text", s["at"] + 1, F.length("text")))
+    df = df.withColumn("text", F.when(F.size("_all") > 0, F.aggregate(_blocks("_all"), start, outer, rest)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         df = df.withColumn("n_chars", F.when(F.size("_all") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return df.select(docs.columns)
+    return back(df)

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from undercut.llm.columns import own_names
 from undercut.shared import materialise
 
 SPACE = r"[ \t-\r]+"
@@ -90,8 +91,8 @@ def _vote(good: Column, bad: Column) -> Column:
 def rule_votes() -> dict[str, Column]:
     """Each rule's vote on a measured document; shares are per word, character or line.
 
-    Most rules know one defect and abstain on texts without it; ``prose`` and ``varied``
-    also speak for a text.
+    Most rules know one defect and abstain on texts without it; ``prose`` also speaks for
+    a text.
     """
     words, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
     lines = F.greatest(F.col("n_lines"), F.lit(1))
@@ -103,7 +104,7 @@ def rule_votes() -> dict[str, Column]:
     prose = mean.between(3, 10) & (symbols < 0.05) & (marks < 0.1) & (upper < 0.3)
     return {
         "prose": _vote(prose & (sentence < 60), ~mean.between(2, 15)),
-        "varied": _vote((repeated < 0.1) & (copied < 0.1), (repeated > 0.4) | (copied > 0.4)),
+        "varied": _vote(never, (repeated > 0.4) | (copied > 0.4)),
         "symbols": _vote(never, symbols > 0.15),
         "capitals": _vote(never, upper > 0.5),
         "marks": _vote(never, marks > 0.3),
@@ -206,7 +207,5 @@ def judge(docs: DataFrame, carry: list[str] | None = None, threshold: float = 0.
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    names = docs.columns
-    inner = docs.toDF(*(f"own_{i}" for i in range(len(names)))).withColumnRenamed(f"own_{names.index('text')}", "text")
-    own = inner.columns
-    return judge(inner).where("kept").select(*(F.col(a).alias(b) for a, b in zip(own, names, strict=True)))
+    own, back = own_names(docs, "text")
+    return back(judge(own).where("kept"))
