@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from undercut.llm.textbytes import SPACED, joined, mix, slices
 
-#: A chunk ends where the 5 highest bits of the gear hash, the ones that all of the last 32
-#: bytes reach, are zero: 1 byte in 32 on average. It holds so many bytes at least and at most.
-CUT_BELOW, LEAST, MOST = np.uint32(1 << 27), 12, 256
+#: A chunk ends where the gear hash is less than at the REACH bytes before and no more than
+#: at those after: every 40 bytes or so, and rarely much later. The hash covers 32 bytes, so
+#: the 52 bytes before and the 20 after decide alone. No chunk is longer than MOST.
+REACH, COVERED, MOST = 20, 32, 256
 #: The gear: a fixed random number for each byte.
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 #: Words of a run of repeated chunks that counts as a passage. Chunks at both ends of a
 #: shared passage reach beyond it, so this lies well under the passages to be found.
-RUN_WORDS = 12
+RUN_WORDS = 16
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -33,21 +34,29 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def cut(candidates: np.ndarray, start: int, end: int) -> list[int]:
-    """Ends of the chunks of one text, given where the hash allows an end."""
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """Where a hash is less than the REACH before it and no more than the REACH after it."""
+    n = len(hashes) - 2 * REACH
+    if n < 1:
+        return np.zeros(0, np.int64)
+    least, width = hashes, 1
+    while 2 * width <= REACH:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    least = np.minimum(least[: len(hashes) - REACH + 1], least[REACH - width :])
+    own = hashes[REACH : REACH + n]
+    return np.flatnonzero((own < least[:n]) & (own <= least[REACH + 1 : REACH + 1 + n])) + REACH
+
+
+def cut(candidates: list[int], start: int, end: int) -> list[int]:
+    """Ends of the chunks of one text, given where the hash wants them."""
     ends, at = [], start
-    for c in candidates:
-        while c - at > MOST:
+    for stop in [*candidates, end]:
+        while stop - at > MOST:
             at += MOST
             ends.append(at)
-        if c - at >= LEAST:
-            at = c
+        if stop > at:
+            at = stop
             ends.append(at)
-    while end - at > MOST:
-        at += MOST
-        ends.append(at)
-    if at < end:
-        ends.append(end)
     return ends
 
 
@@ -56,7 +65,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch):
             data, starts = joined(rows.column("text"))
-            allowed = np.flatnonzero(gear_hashes(data) < CUT_BELOW) + 1
+            allowed = minima(gear_hashes(data)) + 1
             bounds = np.searchsorted(allowed, starts)
             inside = np.concatenate(([False], SPACED[data]))
             begun = np.concatenate(([0], np.cumsum(inside[1:] & ~inside[:-1])))
@@ -64,10 +73,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(rows.num_rows):
                 start, end = int(starts[i]), int(starts[i + 1]) - 1
                 at = start
-                # The hash of a text's first bytes would cover the text before; they are
-                # no ends anyway while a chunk is under LEAST, and are left out up to 32.
                 mine = allowed[bounds[i] : bounds[i + 1]]
-                for stop in cut(mine[(mine >= start + 32) & (mine < end)].tolist(), start, end):
+                own = (mine > start + COVERED + REACH) & (mine < end - REACH)  # no other text has a say
+                for stop in cut(mine[own].tolist(), start, end):
                     offsets.append(at - start)
                     firsts.append((at, stop))
                     digests.append(xxhash.xxh3_128_digest(raw[at:stop]))
