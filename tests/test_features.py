@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from undercut.operators import features, model
 
+# Sum of the first feature over 200 training rows, on any number of cores.
+TRAINING_WEAR = 103.85493871632805
+
 
 def test_features(spark):
     row = features.pit_features(events_df(spark, event(lap=250, speed_kph=math.inf, fuel_load_kg=-5.0))).first()
@@ -55,3 +58,9 @@ def test_prediction_row(spark):
     df = events_df(spark, event()).withColumn("pit_probability", F.lit(0.65))
     assert tuple(features.prediction_rows(df).first()) == ("CAR_01", 1000, 0.65, True, "rf-1.0.0")
     assert features.prediction_rows(df, threshold=0.7, version="x").first().recommend_pit is False
+
+
+def test_training_rows_do_not_depend_on_the_cluster(spark):
+    rows = features.training_table(spark, 200).collect()
+    assert features.training_table(spark, 200).rdd.getNumPartitions() == features.TRAINING_PARTITIONS
+    assert abs(sum(r.wear for r in rows) - TRAINING_WEAR) < 1e-9

@@ -10,16 +10,19 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from check import compare, open_tables  # noqa: E402
 
+from undercut.plans.oracles import ORACLES  # noqa: E402
+from undercut.plans.queries import QUERIES  # noqa: E402
+
 TABLES = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="test tables are absent")
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, name):
-    df = queries()[name](spark, TABLES)
-    if name in oracle_sql():
-        rows, differences = compare(df, open_tables(TABLES), oracle_sql()[name])
+    df = QUERIES[name](spark, TABLES)
+    if name in ORACLES:
+        rows, differences = compare(df, open_tables(TABLES), ORACLES[name])
         assert not differences
     else:
         rows = df.count()
@@ -27,8 +30,8 @@ def test_query(spark, name):
 
 
 def test_only_model_scores_lack_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == {"pit_scores", "stream_predictions"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == {"pit_scores", "stream_predictions"}
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
 def test_stream_scores_equal_batch_scores(spark):

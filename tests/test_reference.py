@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from undercut.operators.reference import (
-    check_constraints, defaults_of, fk_orphans, insert_if_absent, reference_table,
+    check_constraints, defaults_of, fk_orphans, insert_if_absent, reference_table, without_key,
 )
 from undercut.schemas import CIRCUITS, REFERENCE_TABLES
 from undercut.sources.tables import load_reference
@@ -28,6 +28,7 @@ def test_insert_if_absent(spark):
     assert {tuple(r) for r in out.collect()} == {("a", 1, 5), ("b", 2, 0), ("c", None, 0)}
     again = insert_if_absent(out, incoming, "k", {"wins": F.lit(0)}, order="o")
     assert {tuple(r) for r in again.collect()} == {tuple(r) for r in out.collect()}
+    assert [tuple(r) for r in without_key(incoming, "k").collect()] == [(None, 4, 3)]
     loose = insert_if_absent(target, incoming, "k")
     assert loose.count() == 3 and set(defaults_of("teams")) == set()
 

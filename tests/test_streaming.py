@@ -11,7 +11,7 @@ from undercut.operators.hopping import hop_metrics
 from undercut.schemas import AGGREGATES, DEAD_LETTER, DRIVERS, ENRICHED, PREDICTION, TELEMETRY, changes_schema
 from undercut.sources.changes import read_dimension
 from undercut.sources.events import read_events
-from undercut.sources.sinks import as_json_rows, is_committed, read_batches, write_batch
+from undercut.sources.sinks import as_json_rows, is_committed, read_batches, with_event_date, write_batch
 from undercut.streaming import deployment
 from undercut.streaming.aggregation import read_aggregates, start_aggregation
 from undercut.streaming.enrichment import read_enriched, start_enrichment
@@ -130,6 +130,58 @@ def test_batch_write_is_idempotent(spark, folder):
     assert read_batches(spark, folder, df.schema).groupBy("batch_id").count().count() == 2
 
 
+def aggregated(spark, folder):
+    start_aggregation(
+        read_enriched(spark, f"{folder}/enriched", streaming=True),
+        f"{folder}/aggregates", f"{folder}/cp-agg", trigger=NOW, state_partitions=2,
+    ).awaitTermination()
+    return sorted((r.car_id, r.window_start_ms, r.event_count) for r in read_aggregates(spark, f"{folder}/aggregates").collect())
+
+
+@pytest.mark.parametrize("moved", ["all", "half"])
+def test_retried_batch_is_counted_once(spark, folder, moved):
+    """A batch breaks off while or after its files are moved, is read on, and runs again."""
+    rows = enrich(events_df(spark, *laps(range(20))), circuits_df(spark, "C01"), drivers_df(spark, "DRV_01"), 1)
+    batch = with_event_date(rows).repartition(4)
+    path = f"{folder}/enriched"
+    write_batch(batch, path, 0, by=("event_date",))
+    os.remove(f"{path}/batch_id=0/_SUCCESS")
+    if os.path.exists(f"{path}/batch_id=0/._SUCCESS.crc"):
+        os.remove(f"{path}/batch_id=0/._SUCCESS.crc")
+    if moved == "half":
+        attempt = f"{path}/_staging/batch_id=0/" + open(f"{path}/_staging/batch_id=0/decision").read()
+        (day,) = [d for d in os.listdir(f"{path}/batch_id=0") if d.startswith("event_date=")]
+        for name in sorted(n for n in os.listdir(f"{path}/batch_id=0/{day}") if n.endswith(".parquet"))[::2]:
+            os.makedirs(f"{attempt}/{day}", exist_ok=True)
+            os.rename(f"{path}/batch_id=0/{day}/{name}", f"{attempt}/{day}/{name}")
+    assert read_batches(spark, path, ENRICHED).count() == 0  # not finished
+    aggregated(spark, folder)
+    write_batch(batch.orderBy(F.desc("timestamp_ms")), path, 0, by=("event_date",))  # other rows per file
+    counts = aggregated(spark, folder)
+    assert counts == sorted((r.car_id, r.window_start_ms, r.event_count) for r in hop_metrics(rows).collect())
+    assert read_batches(spark, path, ENRICHED).count() == 20
+
+
+def test_impossible_records_do_not_stop_the_enrichment(spark, folder):
+    put(spark, f"{folder}/raw", *laps([1]), event(timestamp_ms=2**63 - 1), event(timestamp_ms=-(2**63)), event(lap=None))
+    start_enrichment(
+        read_events(spark, f"{folder}/raw", streaming=True),
+        lambda s: (circuits_df(s, "C01"), drivers_df(s, "DRV_01")),
+        f"{folder}/enriched", f"{folder}/cp", as_of_ms=1, trigger=NOW, dead_path=f"{folder}/dead",
+    ).awaitTermination()
+    assert read_enriched(spark, f"{folder}/enriched").count() == 1
+    letters = read_batches(spark, f"{folder}/dead", DEAD_LETTER).collect()
+    assert sorted(r.headers["X-Error-Message"] for r in letters) == ["lap", "timestamp_ms", "timestamp_ms"]
+    # Without that branch they are carried along, and left out of the windows.
+    start_enrichment(
+        read_events(spark, f"{folder}/raw", streaming=True),
+        lambda s: (circuits_df(s, "C01"), drivers_df(s, "DRV_01")),
+        f"{folder}/all", f"{folder}/cp-all", as_of_ms=1, trigger=NOW,
+    ).awaitTermination()
+    carried = read_enriched(spark, f"{folder}/all")
+    assert carried.count() == 4 and hop_metrics(carried).count() > 0
+
+
 def test_quarantine_stream(spark, folder):
     put(spark, f"{folder}/raw", event(), event(sector=99), event(car_id="CAR_02"))
     put(spark, f"{folder}/raw", event(lap=None))

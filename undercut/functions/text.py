@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Longest header text and the sign for a missing cell.
 HEADER_MAX = 500
 MISSING = "—"
+# Fixed value: the last epoch millisecond that still has a date.
+MAX_DATE_MS = 8_640_000_000_000_000
+
+DAY_MS = 86_400_000
 
 
 def truncate(text: Column, limit: int = HEADER_MAX) -> Column:
@@ -17,8 +21,28 @@ def truncate(text: Column, limit: int = HEADER_MAX) -> Column:
 
 
 def iso_millis(epoch_ms: Column) -> Column:
-    """ISO-8601 UTC text with milliseconds; the session time zone must be UTC."""
-    return F.date_format(F.timestamp_millis(epoch_ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """ISO-8601 UTC text with milliseconds, whatever the session's time zone.
+
+    Years beyond four digits get a sign and six digits; a time no calendar of that
+    form holds is shown as the plain number.
+    """
+    within = F.pmod(epoch_ms, F.lit(DAY_MS))
+    day = epoch_day(epoch_ms).cast("string")
+    signed = F.concat(F.left(day, F.lit(1)), F.lpad(F.regexp_extract(day, r"^[+-](\d+)", 1), 6, "0"), F.right(day, F.lit(6)))
+    parts = ((3_600_000, 24, 2), (60_000, 60, 2), (1000, 60, 2), (1, 1000, 3))
+    hour, minute, second, milli = (
+        F.lpad(F.pmod(F.floor(within / unit), F.lit(turn)).cast("string"), width, "0") for unit, turn, width in parts
+    )
+    date = F.when(day.rlike(r"^[+-]"), signed).otherwise(day)
+    text = F.concat(date, F.lit("T"), F.concat_ws(":", hour, minute, second), F.lit("."), milli, F.lit("Z"))
+    return F.when(epoch_ms.between(-MAX_DATE_MS, MAX_DATE_MS), text).otherwise(epoch_ms.cast("string"))
+
+
+def epoch_day(epoch_ms: Column) -> Column:
+    """The UTC date of an epoch time, whatever the session's time zone; null beyond all dates."""
+    known = F.when(epoch_ms.between(-MAX_DATE_MS, MAX_DATE_MS), epoch_ms)
+    days = (known - F.pmod(known, F.lit(DAY_MS))) / DAY_MS
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def fixed1(value: Column) -> Column:
@@ -28,6 +52,9 @@ def fixed1(value: Column) -> Column:
     rest), so each product is exact and so is the comparison with one half.
     """
     size = F.abs(value)
+    # From 2^53 on a double has no fraction; there the digits are those of the number itself.
+    large = size >= float(1 << 53)
+    size = F.when(~large, size)
     whole = F.floor(size)
     part = size - whole.cast("double")
     high = part.cast("float").cast("double")
@@ -35,7 +62,9 @@ def fixed1(value: Column) -> Column:
     up = (high * 10.0 - tenths.cast("double") - 0.5) + (part - high) * 10.0 >= 0.0
     total = whole * 10 + tenths + F.when(up, 1).otherwise(0)
     sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, (total.cast("decimal(38,0)") / 10).cast("decimal(38,1)").cast("string"))
+    shown = (total.cast("decimal(38,0)") / 10).cast("decimal(38,1)").cast("string")
+    digits = F.concat(F.abs(value).try_cast("decimal(38,0)").cast("string"), F.lit(".0"))
+    return F.concat(sign, F.when(large, F.coalesce(digits, F.abs(value).cast("string"))).otherwise(shown))
 
 
 def percent1(share: Column) -> Column:

@@ -6,6 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from undercut.functions.text import epoch_day
 
 # Source-table pattern and the topic it is routed to.
 ROUTES = {
@@ -83,11 +86,15 @@ def within_retention(
 ) -> DataFrame:
     """Rows not older than the retention.
 
-    A table laid out by ``event_date`` also gets a date filter, which prunes its
+    ``column`` holds epoch milliseconds, or a timestamp without zone, which is compared
+    as it is, so that the bound reaches the scan; ``as_of_ms`` is then of that type too.
+    A table laid out by ``event_date`` (UTC) also gets a date filter, which prunes its
     partitions.
     """
     as_of = F.lit(as_of_ms) if isinstance(as_of_ms, int) else as_of_ms
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return df.where(F.col(column) >= as_of - F.make_dt_interval(secs=F.lit(retention_ms / 1000).cast("decimal(18,6)")))
     kept = df.where(F.col(column) >= as_of - retention_ms)
     if "event_date" in df.columns:
-        kept = kept.where(F.col("event_date") >= F.to_date(F.timestamp_millis(as_of - retention_ms)))
+        kept = kept.where(F.col("event_date") >= epoch_day(as_of - retention_ms))
     return kept

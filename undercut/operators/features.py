@@ -16,6 +16,8 @@ FEATURES = ("wear", "temp", "fuel", "speed", "ers", "lap")
 SCALES = {"wear": 4.0 * 100.0, "temp": 4.0 * 150.0, "fuel": 120.0, "speed": 380.0, "ers": 100.0, "lap": 100.0}
 LAP_CAP = 100
 
+TRAINING_PARTITIONS = 8
+
 # The labelling rule of the training table.
 WEAR_HIGH, WEAR_MID, FUEL_LOW = 0.72, 0.52, 0.28
 
@@ -51,8 +53,8 @@ def label_rule(wear: Column, fuel: Column) -> Column:
 
 
 def training_table(spark: SparkSession, rows: int = 10_000, seed: int = 42) -> DataFrame:
-    """Uniform random features with rule labels."""
-    drawn = spark.range(rows).select(*[F.rand(seed + i).alias(name) for i, name in enumerate(FEATURES)])
+    """Uniform random features with rule labels; a fixed number of partitions makes the rows the same anywhere."""
+    drawn = spark.range(0, rows, 1, TRAINING_PARTITIONS).select(*[F.rand(seed + i).alias(name) for i, name in enumerate(FEATURES)])
     return drawn.withColumn("label", label_rule(F.col("wear"), F.col("fuel")))
 
 

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from undercut.functions.numeric import corner_sum
-from undercut.schemas import AGGREGATES, WINDOW_ADVANCE_MS, WINDOW_SIZE_MS
+from undercut.schemas import AGGREGATES, MAX_TIME_MS, WINDOW_ADVANCE_MS, WINDOW_SIZE_MS
 
 
 def events_with_time(events: DataFrame, column: str = "timestamp_ms") -> DataFrame:
-    """Add ``event_time``; records with a negative or missing time are dropped."""
-    return events.where(F.col(column) >= 0).withColumn("event_time", F.timestamp_millis(F.col(column)))
+    """Add ``event_time``; records with a negative, missing or impossible time are dropped.
+
+    Validation names the same records invalid, so that they are counted as dead letters.
+    """
+    return events.where(F.col(column).between(0, MAX_TIME_MS)).withColumn("event_time", F.timestamp_millis(F.col(column)))
 
 
 def _readings(events: DataFrame) -> DataFrame:
@@ -39,7 +42,7 @@ def hop_metrics(
     step = F.col("timestamp_ms") - F.pmod("timestamp_ms", F.lit(advance_ms))
     steps = (
         _readings(enriched)
-        .where(F.col("timestamp_ms") >= 0)
+        .where(F.col("timestamp_ms").between(0, MAX_TIME_MS))
         .groupBy("car_id", step.alias("_step"))
         .agg(
             F.max("_speed").alias("max_speed"),

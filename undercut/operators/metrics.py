@@ -13,6 +13,11 @@ from undercut.schemas import SERIES_HISTORY
 LEADING_NUMBER = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 
 
+def epoch_us(column: str) -> Column:
+    """Epoch microseconds of a timestamp without zone, read as UTC whatever the session's zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column})")
+
+
 def counter_rate(samples: DataFrame, range_s: int = 60, slice_ranges: int = 16) -> DataFrame:
     """Per-second rate of counters over the trailing range, at every sample.
 
@@ -29,7 +34,7 @@ def counter_rate(samples: DataFrame, range_s: int = 60, slice_ranges: int = 16)
     of the range again for every row.
     """
     reach, slice_us = range_s * 1_000_000, range_s * slice_ranges * 1_000_000
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    at = epoch_us("ts")
     home = F.col("_us") - F.pmod("_us", F.lit(slice_us))
     following = F.col("_home") + slice_us
     slices = F.when(F.col("_us") >= following - reach, F.array("_home", following)).otherwise(F.array("_home"))

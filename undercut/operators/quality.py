@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from undercut.functions.numeric import finite_deep, has_float, quantise2
 from undercut.functions.text import truncate
-from undercut.schemas import TELEMETRY, TIRE_COMPOUNDS
+from undercut.schemas import MAX_TIME_MS, TELEMETRY, TIRE_COMPOUNDS
 
 # Valid range of every measured column; None is an open end.
 RANGES = {
-    "timestamp_ms": (0, None),
+    "timestamp_ms": (0, MAX_TIME_MS),
     "lap": (1, None),
     "sector": (1, 3),
     "speed_kph": (0, 400),

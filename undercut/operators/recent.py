@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from undercut.functions.text import MISSING, iso_millis, percent1, yes_no
+from undercut.operators.quality import sanitize_numeric
 from undercut.schemas import PREVIEW_DEFAULT_LIMIT, PREVIEW_MAX_LIMIT
 
 PARTITION, OFFSET = "_kafka_partition", "_kafka_offset"
@@ -22,19 +24,30 @@ def with_position(df: DataFrame, partition: Column, offset: Column) -> DataFrame
     return df.withColumns({PARTITION: partition.cast("int"), OFFSET: offset.cast("long")})
 
 
-def tail_per_partition(df: DataFrame, limit: int, partitions: int) -> DataFrame:
+def tail_per_partition(df: DataFrame, limit: int, partitions: int | None = None, salts: int = 64) -> DataFrame:
     """Rows at the last ``ceil(limit / partitions) + 5`` offsets of each partition.
 
-    The bounds come from a pass over the two position columns only and are at most
-    ``partitions`` rows, which makes them safe to broadcast; the second pass then
-    filters while scanning, with neither sort nor shuffle of the rows.
+    The number of partitions is that of the data, or ``partitions`` if the topic has
+    more. No partition is left out; records without one count as one of their own.
+
+    One pass: the planner keeps each task's newest ``limit + 5`` rows of a partition,
+    which no tail exceeds, those of a hot partition are cut again in ``salts`` groups of
+    tasks, and the exact bound is applied to what is left.
     """
-    per_partition = max(1, -(-limit // partitions) + TAIL_SLACK)
-    in_topic = df.where(F.col(PARTITION).between(0, partitions - 1))
-    bounds = in_topic.groupBy(PARTITION).agg(
-        F.greatest(F.min(OFFSET), F.max(OFFSET) + 1 - per_partition).alias("_from")
+    most = limit + TAIL_SLACK
+    newest = F.desc(OFFSET)
+    part, whole = W.partitionBy(PARTITION, "_salt").orderBy(newest), W.partitionBy(PARTITION).orderBy(newest)
+    kept = (
+        df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        .withColumn("_age", F.row_number().over(part))
+        .where(F.col("_age") <= most)
+        .withColumn("_age", F.row_number().over(whole))
+        .where(F.col("_age") <= most)
+        .withColumn("_last", F.max(OFFSET).over(W.partitionBy(PARTITION)))
     )
-    return in_topic.join(F.broadcast(bounds), PARTITION).where(F.col(OFFSET) >= F.col("_from")).select(*df.columns)
+    found = F.count(F.when(F.col("_age") == 1, 1)).over(W.partitionBy())
+    share = F.ceil(F.lit(limit) / F.greatest(found, F.lit(partitions or 1))) + TAIL_SLACK
+    return kept.withColumn("_share", share).where(F.col(OFFSET) > F.col("_last") - F.col("_share")).select(*df.columns)
 
 
 def clamp_limit(limit: int | None) -> int:
@@ -44,7 +57,7 @@ def clamp_limit(limit: int | None) -> int:
 
 
 def recent(
-    df: DataFrame, time_column: str, partitions: int, limit: int | None = None, value: str | None = None
+    df: DataFrame, time_column: str, partitions: int | None = None, limit: int | None = None, value: str | None = None
 ) -> DataFrame:
     """The newest rows of the tails, tombstones (null ``value``) skipped."""
     rows = clamp_limit(limit)
@@ -58,30 +71,27 @@ def decode_json_rows(df: DataFrame, value: str, schema: T.StructType) -> DataFra
     """Decode JSON values into columns.
 
     Tombstones (null) and texts that are not JSON are skipped, an empty text is an
-    empty object, and JSON other than an object goes to ``_raw``. Lenient parsers
-    stop after the first value, so the text is parsed between a bracket and a
+    empty object, and JSON other than an object goes to ``_raw``. Of a repeated key the
+    last value counts; NaN and infinities are taken as numbers and become null. Lenient
+    parsers stop after the first value, so the text is checked between a bracket and a
     sentinel: only one whole JSON value leaves the sentinel in second place.
     """
     text = F.btrim(F.col(value), F.lit(" \t\r\n"))
     wrapped = F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]'))
-    items = F.try_variant_get(F.try_parse_json(wrapped), "$", "array<variant>")
-
-    def kind(parsed: Column) -> Column:
-        last = F.try_variant_get(F.get(parsed, F.lit(1)), "$", "string")
-        first = F.schema_of_variant(F.get(parsed, F.lit(0)))
-        return F.when((F.size(parsed) == 2) & (last == _SENTINEL), first)
-
-    # Parsed once per row: transform binds the result and explode drops what has no kind.
-    kinds = F.when(F.col(value) == "", F.array(F.lit(""))).otherwise(F.transform(F.array(items), kind))
-    decoded = (
-        df.where(F.col(value).isNotNull())
-        .withColumn("_kind", F.explode(F.array_compact(kinds)))
-        .withColumn("_object", F.startswith("_kind", F.lit("OBJECT")))
-        .withColumn("_decoded", F.from_json(F.when(F.col("_object"), text), schema))
-        .withColumn("_raw", F.when(~F.col("_object") & (F.col("_kind") != ""), text))
+    strict = {"allowSingleQuotes": "false"}
+    items = F.from_json(wrapped, "array<string>", strict)
+    empty = F.col(value) == ""
+    whole = (F.size(items) == 2) & (F.get(items, F.lit(1)) == _SENTINEL)
+    decoded = df.where(F.col(value).isNotNull() & (empty | F.coalesce(whole, F.lit(False))))
+    object_ = F.startswith(text, F.lit("{"))
+    bare = text.isin("NaN", "Infinity", "-Infinity")
+    decoded = decoded.withColumn("_decoded", F.from_json(F.when(object_, text), schema, strict)).withColumn(
+        "_raw", F.when(~object_ & ~empty & ~bare, text)
     )
     kept = [c for c in df.columns if c != value]
-    return decoded.select(*kept, *[F.col("_decoded")[f.name].alias(f.name) for f in schema.fields], "_raw")
+    return sanitize_numeric(
+        decoded.select(*kept, *[F.col("_decoded")[f.name].alias(f.name) for f in schema.fields], "_raw")
+    )
 
 
 def pit_wall_view(predictions: DataFrame) -> DataFrame:

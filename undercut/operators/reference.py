@@ -52,7 +52,8 @@ def insert_if_absent(
 ) -> DataFrame:
     """``target`` plus the incoming rows whose key it lacks.
 
-    Of several incoming rows with one key the first by ``order`` is inserted.
+    Of several incoming rows with one key the first by ``order`` is inserted. Rows without
+    a key cannot be inserted; ``without_key`` returns them.
     """
     rows = incoming.where(F.col(key).isNotNull())
     if order is None:
@@ -64,6 +65,11 @@ def insert_if_absent(
     return target.unionByName(absent.select(*target.columns))
 
 
+def without_key(incoming: DataFrame, key: str) -> DataFrame:
+    """Incoming rows that an insert by key has to reject."""
+    return incoming.where(F.col(key).isNull())
+
+
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose foreign key is set but names no parent."""
     keys = parent.select(F.col(pk).alias(fk))
@@ -78,24 +84,26 @@ def check_constraints(
 ) -> DataFrame:
     """One row per rule with its number of violations.
 
-    Not-null rules share one pass. Unique and foreign-key rules first count rows per
-    key, so the shuffle carries one row per key and task however hot a key is.
-    ``unique`` counts the rows beyond the first of each key, ``foreign`` the orphans.
+    Not-null rules share one pass. Rows are counted once per key column, whose unique and
+    foreign-key rules share those counts, and the shuffle carries one row per key and
+    task however hot a key is. ``unique`` counts the rows beyond the first of each key,
+    ``foreign`` the orphans.
     """
-
-    def total(counted: DataFrame, rule: str, violations: Column) -> DataFrame:
-        return counted.agg(F.coalesce(F.sum(violations), F.lit(0)).cast("long").alias("violations")).select(
-            F.lit(rule).alias("rule"), "violations"
-        )
-
+    foreign = dict(foreign or {})
     parts = []
     if not_null:
         counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in not_null])
         parts.append(counts.unpivot([], list(counts.columns), "rule", "violations"))
-    for column in unique:
-        counted = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-        parts.append(total(counted, f"unique:{column}", F.col("n") - 1))
-    for column, (parent, pk) in (foreign or {}).items():
-        counted = rows.groupBy(column).agg(F.count("*").alias("n"))
-        parts.append(total(fk_orphans(counted, column, parent, pk), f"foreign:{column}", F.col("n")))
+    for column in dict.fromkeys((*unique, *foreign)):
+        counted = rows.groupBy(column).agg(F.count("*").alias("n")).where(F.col(column).isNotNull())
+        checks = {}
+        if column in foreign:
+            parent, pk = foreign[column]
+            known = parent.select(F.col(pk).alias(column)).distinct().withColumn("_known", F.lit(True))
+            counted = counted.join(known, column, "left")
+            checks[f"foreign:{column}"] = F.when(F.col("_known").isNull(), F.col("n"))
+        if column in unique:
+            checks[f"unique:{column}"] = F.col("n") - 1
+        sums = counted.agg(*[F.coalesce(F.sum(v), F.lit(0)).cast("long").alias(rule) for rule, v in checks.items()])
+        parts.append(sums.unpivot([], list(sums.columns), "rule", "violations"))
     return reduce(DataFrame.unionByName, parts)

@@ -66,7 +66,8 @@ def _altered(changes: dict[str, str], extra: tuple[str, ...] = ()) -> str:
 DIRTY_SQL = _altered(
     {
         "sector": "CASE WHEN event_id % 97 = 0 THEN 99 ELSE sector END",
-        "timestamp_ms": "CASE WHEN event_id % 101 = 0 THEN -1 ELSE timestamp_ms END",
+        "timestamp_ms": "CASE WHEN event_id % 101 = 0 THEN -1 WHEN event_id % 127 = 0 THEN 9223372036854775807 "
+        "WHEN event_id % 131 = 0 THEN -9223372036854775807 - 1 ELSE timestamp_ms END",
         "throttle_pct": "CASE WHEN event_id % 103 = 0 THEN CAST(200 AS DOUBLE) ELSE throttle_pct END",
         "tire_compound": "CASE WHEN event_id % 107 = 0 THEN 'SLICK' ELSE tire_compound END",
         "g_force_lat": "CASE WHEN event_id % 109 = 0 THEN CAST(50 AS DOUBLE) ELSE g_force_lat END",
@@ -152,12 +153,14 @@ SELECT event_type AS series, ts, CAST(event_id % 500 AS DOUBLE) AS value FROM {e
 
 JSON_VALUES_SQL = """
 SELECT event_id,
-  CASE event_type WHEN 'click' THEN props
-                  WHEN 'view' THEN concat('  ', props, ' ')
+  CASE WHEN event_id % 37 = 0 THEN '{{"k": 1, "k": 2}}' WHEN event_id % 41 = 0 THEN '{{"k": NaN}}'
+       WHEN event_id % 43 = 0 THEN '{{"k": Infinity, "z": 1}}' WHEN event_id % 47 = 0 THEN 'NaN'
+       WHEN event_type = 'click' THEN props ELSE
+  CASE event_type WHEN 'view' THEN concat('  ', props, ' ')
                   WHEN 'purchase' THEN concat('[', props, ', 7]')
                   WHEN 'signup' THEN concat(props, CASE user_id % 3 WHEN 0 THEN ',2' WHEN 1 THEN ' x' ELSE '}}' END)
                   ELSE CASE user_id % 3 WHEN 0 THEN '' WHEN 1 THEN CAST(event_id AS STRING) ELSE NULL END
-       END AS value
+       END END AS value
 FROM {events}
 """
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from undercut.plans import inputs
-from undercut.schemas import TELEMETRY
+from undercut.schemas import MAX_TIME_MS, TELEMETRY
 
 COLUMNS = ", ".join(TELEMETRY.names)
 
@@ -70,7 +70,7 @@ RULE_NAMES = {
     "coalesce(length(trim(car_id)) > 0, false)": "car_id",
     "coalesce(length(trim(driver_id)) > 0, false)": "driver_id",
     "coalesce(length(trim(session_id)) > 0, false)": "session_id",
-    "timestamp_ms >= 0": "timestamp_ms",
+    f"timestamp_ms BETWEEN 0 AND {MAX_TIME_MS}": "timestamp_ms",
     "lap >= 1": "lap",
     "sector BETWEEN 1 AND 3": "sector",
     "speed_kph BETWEEN 0 AND 400": "speed_kph",
@@ -200,11 +200,14 @@ RATE_SQL = with_inputs(
 
 WHOLE_OBJECT = "json_valid(value) AND json_type(value) = 'OBJECT'"
 
+# Repeated keys and numbers that are not finite, beyond what this parser takes.
+LOOSE = "event_id % 37 = 0 OR event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 47 = 0"
+
 ORACLES: dict[str, str] = {
     "scan_telemetry": on_telemetry(f"SELECT {COLUMNS} FROM telemetry"),
     "event_time_source": with_inputs(
         "SELECT event_id, timestamp_ms, make_timestamp(timestamp_ms * 1000) AS event_time "
-        "FROM dirty WHERE timestamp_ms >= 0",
+        f"FROM dirty WHERE timestamp_ms BETWEEN 0 AND {MAX_TIME_MS}",
         dirty=inputs.DIRTY_SQL,
     ),
     "extract_circuit_id": with_inputs(
@@ -266,7 +269,7 @@ ORACLES: dict[str, str] = {
           CAST(count(*) FILTER (reason <> '') AS BIGINT) AS dead_lettered FROM checked""",
         **CHECKED_VIEWS,
     ),
-    "tail_per_partition": with_inputs(tails("p", 9), p=f"SELECT event_id, {positions(5)} FROM events"),
+    "tail_per_partition": with_inputs(tails("p", 8), p=f"SELECT event_id, {positions(7)} FROM events"),
     "recent_predictions": with_inputs(
         f"""SELECT event_id, car_id, timestamp_ms, pit_probability, recommend_pit, model_version,
           _kafka_partition, _kafka_offset FROM ({tails("placed", 9)}) AS t
@@ -283,9 +286,10 @@ ORACLES: dict[str, str] = {
           window_start_ms // 100000 * 20 + CAST(substr(car_id, 5, 2) AS BIGINT) - 1 AS _kafka_offset FROM hops""",
     ),
     "decode_json_rows": with_inputs(
-        f"""SELECT event_id, CASE WHEN {WHOLE_OBJECT} THEN CAST(json_extract(value, '$.k') AS BIGINT) END AS k,
-          CASE WHEN json_valid(value) AND json_type(value) <> 'OBJECT' THEN trim(value) END AS _raw
-        FROM json_values WHERE value = '' OR json_valid(value)""",
+        f"""SELECT event_id, CASE WHEN event_id % 37 = 0 THEN 2 WHEN NOT ({LOOSE}) AND {WHOLE_OBJECT}
+            THEN CAST(json_extract(value, '$.k') AS BIGINT) END AS k,
+          CASE WHEN NOT ({LOOSE}) AND json_valid(value) AND json_type(value) <> 'OBJECT' THEN trim(value) END AS _raw
+        FROM json_values WHERE {LOOSE} OR value = '' OR json_valid(value)""",
         json_values=inputs.JSON_VALUES_SQL,
     ),
     "pit_wall_view": with_inputs(
@@ -323,23 +327,29 @@ ORACLES: dict[str, str] = {
         regulations=inputs.REGULATIONS_SQL,
     ),
     "insert_if_absent": """
-        WITH target AS (SELECT c_custkey, c_name, c_acctbal, 1 AS c_visits FROM customer
-                        WHERE c_mktsegment = 'BUILDING'),
-        firsts AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders)
+        WITH target AS (SELECT s_suppkey, s_name, s_acctbal, 1 AS s_visits FROM supplier),
+        firsts AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
         SELECT * FROM target UNION ALL
-        SELECT o_custkey, o_orderpriority, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END, 0
-        FROM firsts WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM target WHERE c_custkey = o_custkey)""",
-    "fk_orphans": """SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS
-        (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment <> 'BUILDING')""",
-    "constraint_report": """
-        SELECT 'not_null:o_orderkey' AS rule, CAST(count(*) FILTER (o_orderkey IS NULL) AS BIGINT) AS violations
-          FROM orders
-        UNION ALL SELECT 'not_null:o_custkey', count(*) FILTER (o_custkey IS NULL) FROM orders
-        UNION ALL SELECT 'not_null:o_note', count(*) FILTER (o_orderstatus = 'P') FROM orders
-        UNION ALL SELECT 'unique:o_orderkey', count(o_orderkey) - count(DISTINCT o_orderkey) FROM orders
-        UNION ALL SELECT 'unique:o_custkey', count(o_custkey) - count(DISTINCT o_custkey) FROM orders
-        UNION ALL SELECT 'foreign:o_custkey', count(*) FROM orders WHERE o_custkey IS NOT NULL AND NOT EXISTS
-          (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment <> 'BUILDING')""",
+        SELECT user_id, event_type, CASE WHEN event_type <> 'signup' THEN value END, 0
+        FROM firsts WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM target WHERE s_suppkey = user_id)""",
+    "fk_orphans": with_inputs(
+        """SELECT event_id, driver_id FROM telemetry WHERE NOT EXISTS
+        (SELECT 1 FROM drivers d WHERE d.driver_id = telemetry.driver_id)""",
+        telemetry=inputs.TELEMETRY_SQL,
+        drivers=inputs.DRIVERS_SQL,
+    ),
+    "constraint_report": with_inputs(
+        """SELECT 'not_null:event_id' AS rule, CAST(count(*) FILTER (event_id IS NULL) AS BIGINT) AS violations
+          FROM telemetry
+        UNION ALL SELECT 'not_null:driver_id', count(*) FILTER (driver_id IS NULL) FROM telemetry
+        UNION ALL SELECT 'not_null:note', count(*) FILTER (drs_active) FROM telemetry
+        UNION ALL SELECT 'unique:event_id', count(event_id) - count(DISTINCT event_id) FROM telemetry
+        UNION ALL SELECT 'unique:driver_id', count(driver_id) - count(DISTINCT driver_id) FROM telemetry
+        UNION ALL SELECT 'foreign:driver_id', count(*) FROM telemetry WHERE NOT EXISTS
+          (SELECT 1 FROM drivers d WHERE d.driver_id = telemetry.driver_id)""",
+        telemetry=inputs.TELEMETRY_SQL,
+        drivers=inputs.DRIVERS_SQL,
+    ),
     "cdc_snapshot": """SELECT 'r' AS op, CAST(0 AS BIGINT) AS seq, 'racing.public.customer' AS source_table,
         CAST(c_custkey AS VARCHAR) AS key, * FROM customer""",
     "cdc_unwrap": with_inputs(UNWRAPPED, **CHANGES_VIEWS),
@@ -361,8 +371,8 @@ ORACLES: dict[str, str] = {
         WHERE rn = 1""",
         **CHANGES_VIEWS,
     ),
-    "within_retention": """SELECT event_id, epoch_us(ts) // 1000 AS timestamp_ms FROM events
-        WHERE epoch_us(ts) // 1000 >= (SELECT max(epoch_us(ts) // 1000) FROM events) - 86400000""",
+    "within_retention": """SELECT event_id, ts FROM events
+        WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 86400 SECOND""",
     "counter_rate": RATE_SQL,
     "metric_latest": with_inputs(
         "SELECT series, arg_max(value, ts) AS value FROM samples GROUP BY series", samples=inputs.SAMPLES_SQL
@@ -379,6 +389,11 @@ ORACLES: dict[str, str] = {
         **METRIC_VIEWS,
     ),
     "stream_enrich": with_inputs("SELECT * FROM enriched_rows", **ENRICHED_VIEWS),
+    "stream_enrich_dirty": with_inputs(
+        """SELECT CASE WHEN reason = '' THEN 'enriched' ELSE 'dead' END AS outcome, car_id, CAST(count(*) AS BIGINT) AS n
+        FROM checked GROUP BY 1, 2""",
+        **CHECKED_VIEWS,
+    ),
     "stream_hop_metrics": HOP_SQL,
     "stream_dead_letters": DEAD_LETTER_SQL,
 }

@@ -14,7 +14,6 @@ from undercut.operators import cdc, enrich, features, hopping, metrics, model, q
 from undercut.plans import inputs
 from undercut.plans.inputs import project, project_stream, table
 from undercut.schemas import AGGREGATES, DEAD_LETTER, PREDICTION, RETENTION_MS, TELEMETRY, TOPIC_PARTITIONS
-from undercut.session import METHOD_LIMIT
 from undercut.sources.sinks import as_json_rows, read_batches
 from undercut.streaming.aggregation import read_aggregates, start_aggregation
 from undercut.streaming.enrichment import read_enriched, start_enrichment
@@ -32,16 +31,9 @@ RATE_RANGE_S = 3600
 
 
 def query(function: Query) -> Query:
-    """Register a query under its function name; times are read and written in UTC."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        spark.conf.set(*METHOD_LIMIT)
-        return function(spark, sf_dir)
-
-    run.__doc__ = function.__doc__
-    QUERIES[function.__name__] = run
-    return run
+    """Register a query under its function name. None depends on or alters the session's settings."""
+    QUERIES[function.__name__] = function
+    return function
 
 
 # Inputs
@@ -290,9 +282,9 @@ def publish_summary(spark, sf_dir):
 
 @query
 def tail_per_partition(spark, sf_dir):
-    partitions = TOPIC_PARTITIONS["pit-predictions"]
-    events = positioned(table(spark, sf_dir, "events").select("event_id"), partitions)
-    return recent.tail_per_partition(events, 20, partitions)
+    """More partitions than the topic was declared with; the data say how many."""
+    events = positioned(table(spark, sf_dir, "events").select("event_id"), TOPIC_PARTITIONS["pit-predictions"] + 2)
+    return recent.tail_per_partition(events, 20)
 
 
 @query
@@ -371,40 +363,33 @@ def reference_regulations(spark, sf_dir):
 
 @query
 def insert_if_absent(spark, sf_dir):
-    """Customers of one segment, plus the first order of every customer not among them."""
-    customers = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
-    target = customers.select("c_custkey", "c_name", "c_acctbal", F.lit(1).alias("c_visits"))
-    incoming = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"),
-        F.col("o_orderpriority").alias("c_name"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("c_acctbal"),
-        "o_orderkey",
-    )
-    return reference.insert_if_absent(
-        target, incoming, "c_custkey", defaults={"c_visits": F.lit(0)}, order="o_orderkey"
+    """The suppliers as drivers, plus the first event of every user who is none of them."""
+    drivers = table(spark, sf_dir, "supplier")
+    target = drivers.select("s_suppkey", "s_name", "s_acctbal", F.lit(1).alias("s_visits"))
+    incoming = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("s_suppkey"),
+        F.col("event_type").alias("s_name"),
+        F.when(F.col("event_type") != "signup", F.col("value")).alias("s_acctbal"),
+        "event_id",
     )
-
-
-def known_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    return reference.insert_if_absent(target, incoming, "s_suppkey", defaults={"s_visits": F.lit(0)}, order="event_id")
 
 
 @query
 def fk_orphans(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return reference.fk_orphans(orders, "o_custkey", known_customers(spark, sf_dir), "c_custkey")
+    """Events of drivers that the reference table does not know."""
+    events = telemetry(spark, sf_dir).select("event_id", "driver_id")
+    return reference.fk_orphans(events, "driver_id", reference_rows(spark, sf_dir, "drivers"), "driver_id")
 
 
 @query
 def constraint_report(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumn(
-        "o_note", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
-    )
+    events = telemetry(spark, sf_dir).withColumn("note", F.when(~F.col("drs_active"), F.col("tire_compound")))
     return reference.check_constraints(
-        orders,
-        not_null=("o_orderkey", "o_custkey", "o_note"),
-        unique=("o_orderkey", "o_custkey"),
-        foreign={"o_custkey": (known_customers(spark, sf_dir), "c_custkey")},
+        events,
+        not_null=("event_id", "driver_id", "note"),
+        unique=("event_id", "driver_id"),
+        foreign={"driver_id": (reference_rows(spark, sf_dir, "drivers"), "driver_id")},
     )
 
 
@@ -438,10 +423,9 @@ def cdc_compact(spark, sf_dir):
 
 @query
 def within_retention(spark, sf_dir):
-    at = F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms")
-    events = table(spark, sf_dir, "events").select("event_id", at)
-    newest = events.agg(F.max("timestamp_ms")).scalar()
-    return cdc.within_retention(events, RETENTION_MS["pit-predictions"], newest)
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    newest = events.agg(F.max("ts")).scalar()
+    return cdc.within_retention(events, RETENTION_MS["pit-predictions"], newest, "ts")
 
 
 # Metric series
@@ -450,7 +434,7 @@ def within_retention(spark, sf_dir):
 @query
 def counter_rate(spark, sf_dir):
     rates = metrics.counter_rate(samples(spark, sf_dir), RATE_RANGE_S)
-    return rates.select("series", F.unix_micros(F.col("ts").cast("timestamp")).alias("epoch_us"), "rate")
+    return rates.select("series", metrics.epoch_us("ts").alias("epoch_us"), "rate")
 
 
 @query
@@ -494,6 +478,25 @@ def stream_enrich(spark, sf_dir):
     return rows.drop("batch_id", "event_date")
 
 
+@query
+def stream_enrich_dirty(spark, sf_dir):
+    """Rows enriched and rows quarantined by one stream over dirty events."""
+    folder = shared_folder(spark, "enriched-dirty")
+    start_enrichment(
+        project_stream(spark, sf_dir, inputs.DIRTY_SQL).select(*TELEMETRY.names),
+        lambda session: dimensions(session, sf_dir),
+        f"{folder}/data",
+        f"{folder}/checkpoint",
+        name=folder,
+        as_of_ms=inputs.AS_OF_MS,
+        trigger=NOW,
+        dead_path=f"{folder}/dead",
+    ).awaitTermination()
+    good, bad = read_enriched(spark, f"{folder}/data"), read_batches(spark, f"{folder}/dead", DEAD_LETTER)
+    outcomes = good.select(F.lit("enriched").alias("outcome"), "car_id").union(bad.select(F.lit("dead"), "key"))
+    return outcomes.groupBy("outcome", "car_id").agg(F.count("*").alias("n"))
+
+
 @query
 def stream_hop_metrics(spark, sf_dir):
     source = enrich_by_stream(spark, sf_dir)

@@ -196,3 +196,6 @@ def changes_schema(table: T.StructType) -> T.StructType:
         ("key", _STRING, False),
         ("after", after, True),
     )
+
+# The end of the year 9999: the latest event time that timestamps of all parts can hold.
+MAX_TIME_MS = 253_402_300_799_999

@@ -2,40 +2,111 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from undercut.functions.text import epoch_day
 from undercut.operators.quality import sanitize_numeric
 
 
+class _Files:
+    """The few file operations of a commit, on whatever store the path is in."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def create(self, path: str, text: str = "") -> bool:
+        """Whether this call made the file; one that exists is left alone."""
+        try:
+            out = self._fs.create(self._path(path), False)
+        except Py4JJavaError:
+            if self.exists(path):
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def read(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def children(self, path: str) -> list[str]:
+        return [x.getPath().getName() for x in self._fs.listStatus(self._path(path))] if self.exists(path) else []
+
+    def below(self, path: str) -> list[str]:
+        """Data files below a folder, relative to it, in a fixed order."""
+        root = self._fs.makeQualified(self._path(path)).toString()
+        found, files = [], self._fs.listFiles(self._path(path), True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.append(file.toString()[len(root) + 1 :])
+        return sorted(found)
+
+    def move(self, source: str, target: str) -> None:
+        self._fs.mkdirs(self._path(target).getParent())
+        if not self._fs.rename(self._path(source), self._path(target)) and not self.exists(target):
+            raise OSError(f"cannot move {source} to {target}")
+
+
 def is_committed(spark: SparkSession, folder: str) -> bool:
     """Whether a write to the folder has finished."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    return _Files(spark, folder).exists(f"{folder}/_SUCCESS")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", by: tuple[str, ...] = ()) -> None:
     """Write one micro-batch to its own folder, exactly once.
 
-    A repeated batch that had finished is left alone, so readers never see its files
-    replaced; one that had not is written again from scratch.
+    An attempt is written where readers do not look. A decision file, which is made once,
+    names the attempt that counts; its files are then moved to the batch's folder and the
+    folder is marked. A repeated batch takes up the attempt decided on and moves what is
+    left of it, so a stream that reads the folder sees each file once, and no row of
+    another attempt, wherever the first run broke off. An attempt without a decision
+    stays unread below ``_staging``.
     """
-    folder = f"{path}/batch_id={batch_id}"
-    if not is_committed(df.sparkSession, folder):
-        df.write.mode("overwrite").partitionBy(*by).format(fmt).save(folder)
+    spark = df.sparkSession
+    folder, staging = f"{path}/batch_id={batch_id}", f"{path}/_staging/batch_id={batch_id}"
+    files = _Files(spark, path)
+    if files.exists(f"{folder}/_SUCCESS"):
+        return
+    decision = f"{staging}/decision"
+    if not files.exists(decision):
+        attempt = uuid.uuid4().hex
+        df.write.partitionBy(*by).format(fmt).save(f"{staging}/{attempt}")
+        files.create(decision, attempt)
+    attempt = f"{staging}/{files.read(decision)}"
+    for file in files.below(attempt):
+        files.move(f"{attempt}/{file}", f"{folder}/{file}")
+    files.create(f"{folder}/_SUCCESS")
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """All micro-batches written by ``write_batch``, with ``batch_id``."""
+    """The micro-batches that ``write_batch`` has finished, with ``batch_id``."""
     numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(numbered).format(fmt).load(path)
+    files = _Files(spark, path)
+    folders = [f"{path}/{name}" for name in files.children(path) if name.startswith("batch_id=")]
+    folders = [folder for folder in folders if files.exists(f"{folder}/_SUCCESS")]
+    if not folders:
+        return spark.createDataFrame([], numbered)
+    return spark.read.schema(numbered).format(fmt).option("basePath", path).load(folders)
 
 
 def with_event_date(df: DataFrame, column: str = "timestamp_ms") -> DataFrame:
-    """Add the layout column that retention filters prune by."""
-    return df.withColumn("event_date", F.to_date(F.timestamp_millis(column)))
+    """Add the layout column that retention filters prune by: the UTC date."""
+    return df.withColumn("event_date", epoch_day(F.col(column)))
 
 
 def as_json_rows(df: DataFrame, key: str = "car_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from undercut.operators.hopping import hop_metrics_stream
 from undercut.schemas import AGGREGATES, WINDOW_ADVANCE_MS, WINDOW_SIZE_MS
 from undercut.sources.sinks import read_batches, write_aggregates
-from undercut.streaming.settings import state_settings
+from undercut.streaming.settings import DEFAULT_TRIGGER, state_settings
 
 
 def start_aggregation(
@@ -34,7 +34,7 @@ def start_aggregation(
             metrics.writeStream.queryName(name)
             .outputMode("update")
             .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
+            .trigger(**(trigger or DEFAULT_TRIGGER))
             .foreachBatch(lambda batch, batch_id: write_aggregates(batch, path, batch_id))
             .start()
         )

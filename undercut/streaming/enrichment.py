@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from undercut.operators.enrich import enrich
+from undercut.operators.quality import quarantined, to_dead_letter, valid, validate_events
 from undercut.schemas import ENRICHED
 from undercut.sources.sinks import with_event_date, write_batch
+from undercut.streaming.settings import DEFAULT_TRIGGER
 
 Dimensions = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
@@ -28,9 +31,14 @@ def start_enrichment(
     as_of_ms: int | None = None,
     require: str = "any",
     trigger: dict | None = None,
+    dead_path: str | None = None,
+    topic: str = "raw-telemetry",
 ) -> StreamingQuery:
     """Enrich a stream of events into ``path``.
 
+    With ``dead_path`` the events that validation rejects go there as dead letters, with
+    their reasons, and only the others are enriched: no record ends the stream.
+
     ``dimensions`` is called once per micro-batch and reads circuits and drivers anew:
     a batch joins their latest values, and rows written earlier are not revised. A
     plain stream-static join would keep the file listing of its start for ever.
@@ -38,13 +46,20 @@ def start_enrichment(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         circuits, drivers = dimensions(batch.sparkSession)
-        enriched = with_event_date(enrich(batch, circuits, drivers, as_of_ms, require))
+        kept = batch
+        if dead_path is not None:
+            checked = validate_events(batch)
+            record = F.to_json(F.struct(*batch.columns))
+            letters = to_dead_letter(quarantined(checked), F.col("reason"), topic, record=record, as_of_ms=as_of_ms)
+            write_batch(letters, dead_path, batch_id)
+            kept = valid(checked)
+        enriched = with_event_date(enrich(kept, circuits, drivers, as_of_ms, require))
         write_batch(enriched, path, batch_id, by=("event_date",))
 
     return (
         events.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
+        .trigger(**(trigger or DEFAULT_TRIGGER))
         .foreachBatch(run)
         .start()
     )

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from undercut.operators.quality import quarantined, to_dead_letter, valid, validate_events
 from undercut.sources.sinks import write_batch
+from undercut.streaming.settings import DEFAULT_TRIGGER
 
 
 def start_quarantine(
@@ -36,7 +37,7 @@ def start_quarantine(
     return (
         events.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
+        .trigger(**(trigger or DEFAULT_TRIGGER))
         .foreachBatch(run)
         .start()
     )

@@ -14,6 +14,7 @@ from undercut.operators.metrics import scoring_counter_columns
 from undercut.operators.model import score
 from undercut.schemas import MODEL_VERSION, PIT_THRESHOLD
 from undercut.sources.sinks import append_stream
+from undercut.streaming.settings import DEFAULT_TRIGGER
 
 OBSERVATION = "scoring"
 
@@ -58,4 +59,4 @@ def start_scoring(
     counted = events.observe(OBSERVATION, *[c.alias(n) for n, c in scoring_counter_columns().items()])
     scored = prediction_rows(score(counted.where("decoded"), model), threshold, version)
     sink = append_stream(scored, path, checkpoint, name)
-    return sink.trigger(**(trigger or {"processingTime": "100 milliseconds"})).start()
+    return sink.trigger(**(trigger or DEFAULT_TRIGGER)).start()

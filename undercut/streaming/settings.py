@@ -7,6 +7,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# A folder per micro-batch: a file sink wants batches of some size.
+DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
