@@ -26,3 +26,58 @@ SELECT k.conv_id, CAST((p.place - 1) // 64 AS BIGINT) AS segment, k.turns, k.cop
 FROM kept k JOIN placed p ON k.conv_id = p.conv_id
 GROUP BY ALL
 """
+
+WORD_ROWS = """
+  SELECT {id}, unnest(w) AS word, generate_subscripts(w, 1) AS i, len(w) AS n FROM (
+    SELECT {id}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '{pattern}') AS w FROM {table}) AS t"""
+ALNUM_WORDS, SPACED_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x20\x09-\x0D]+"
+
+#: Runs of k words as text, by where they begin; no word holds a space.
+RUNS = "string_agg(word, ' ') OVER (PARTITION BY {id} ORDER BY i ROWS BETWEEN CURRENT ROW AND {last} FOLLOWING)"
+
+ORACLES["op2_benchmark_passages"] = f"""
+WITH dw AS ({WORD_ROWS.format(id="doc_id", table="documents", pattern=ALNUM_WORDS)}),
+iw AS ({WORD_ROWS.format(id="item_id", table="benchmark", pattern=ALNUM_WORDS)}),
+item_windows AS (
+  SELECT DISTINCT item_id, least(13, n) AS k,
+    {RUNS.format(id="item_id", last=12)} AS run
+  FROM iw QUALIFY i + least(13, n) - 1 <= n
+),
+lengths AS (SELECT DISTINCT k FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, i, k, array_to_string(list_slice(ahead, 1, k), ' ') AS run
+  FROM (SELECT doc_id, i, n, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS ahead
+        FROM dw) AS t, lengths WHERE i + k - 1 <= n
+),
+hits AS (SELECT d.doc_id, d.i, d.k, w.item_id FROM doc_windows d JOIN item_windows w ON d.k = w.k AND d.run = w.run),
+words_hit AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS spot FROM hits) AS t GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) AS t GROUP BY doc_id
+),
+sizes AS (SELECT doc_id, max(n) AS n_words FROM dw GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= n_words, false) AS contaminated
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES["op5_near_duplicates"] = f"""
+WITH RECURSIVE dw AS ({WORD_ROWS.format(id="doc_id", table="documents", pattern=SPACED_WORDS)}),
+shingles AS (
+  SELECT DISTINCT doc_id, {RUNS.format(id="doc_id", last=1)} AS s FROM dw QUALIFY i < n OR n = 1
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id, min(other) = d.doc_id AS kept
+FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
