@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 
 from undercut.operators.cdc import compact_changes, latest_by_key, route_topic, snapshot_changes, unwrap_changes, within_retention
 from undercut.schemas import DRIVERS, changes_schema
-from undercut.sources.changes import read_changes, read_dimension
+from undercut.sources.changes import (
+    read_changes, read_dimension, read_routed_dimension, take_snapshot, write_routed,
+)
+from undercut.sources.sinks import expire, read_batches, with_event_date, write_batch
 
 
 def driver(key, name):
@@ -85,3 +88,37 @@ def test_retention_prunes_dates(spark, folder):
     assert dt.date(1970, 1, 8) in {r.event_date for r in kept.collect()}
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_second_read_takes_the_snapshot_and_newer_batches_only(spark, folder):
+    schema = changes_schema(DRIVERS)
+
+    def change(seq, key, name, op="u"):
+        after = None if op == "d" else (key, name, "ABC", "T", 1, "N", 0, 0)
+        return (op, seq, "db.public.drivers", key, after)
+
+    def put(batch, *rows):
+        write_routed(spark.createDataFrame(rows, schema), f"{folder}/log", batch)
+
+    put(0, change(1, "D1", "old"), change(2, "D2", "two"), ("u", 3, "db.public.orders", "D1", None))
+    take_snapshot(spark, f"{folder}/log", f"{folder}/snap", DRIVERS, "driver-profiles")
+    put(1, change(4, "D1", "new"), change(5, "D2", None, "d"), change(6, "D3", "three"))
+    arguments = (spark, f"{folder}/log", f"{folder}/snap", DRIVERS, "driver-profiles", "driver_id")
+    found = read_routed_dimension(*arguments)
+    assert {(r.driver_id, r.full_name) for r in found.collect()} == {("D1", "new"), ("D3", "three")}
+    read = {f.split("/log/")[-1].split("/")[0] for f in found.inputFiles() if "/log/" in f}
+    assert read == {"batch_id=1"} and any("/snap/" in f for f in found.inputFiles())
+    take_snapshot(spark, f"{folder}/log", f"{folder}/snap", DRIVERS, "driver-profiles")
+    again = read_routed_dimension(*arguments)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
+    assert not any("/log/" in f for f in again.inputFiles())
+
+
+def test_expired_days_go_and_stay_away(spark, folder):
+    day = 86_400_000
+    df = with_event_date(spark.createDataFrame([(0,), (day,), (2 * day + 5,)], "timestamp_ms long"))
+    write_batch(df, folder, 0, by=("event_date",))
+    gone = expire(spark, folder, dt.date(1970, 1, 3))
+    assert gone == ["batch_id=0/event_date=1970-01-01", "batch_id=0/event_date=1970-01-02"]
+    write_batch(df, folder, 0, by=("event_date",))  # a late retry
+    assert [r.timestamp_ms for r in read_batches(spark, folder, df.schema).collect()] == [2 * day + 5]

@@ -365,6 +365,13 @@ ORACLES: dict[str, str] = {
         WHERE rn = 1 AND op IS NOT NULL AND op <> 'd'""",
         **CHANGES_VIEWS,
     ),
+    "cdc_routed_dimension": with_inputs(
+        """SELECT CAST(key AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice
+        FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM changes
+              WHERE source_table = 'racing.public.drivers') AS c
+        WHERE rn = 1 AND op IS NOT NULL AND op <> 'd'""",
+        **CHANGES_VIEWS,
+    ),
     "cdc_compact": with_inputs(
         f"""SELECT key, seq, op, CASE WHEN NOT {GONE} THEN o_totalprice END AS o_totalprice
         FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM changes) AS c

@@ -14,6 +14,7 @@ from undercut.operators import cdc, enrich, features, hopping, metrics, model, q
 from undercut.plans import inputs
 from undercut.plans.inputs import project, project_stream, table
 from undercut.schemas import AGGREGATES, DEAD_LETTER, PREDICTION, RETENTION_MS, TELEMETRY, TOPIC_PARTITIONS
+from undercut.sources.changes import read_routed_dimension, take_snapshot, write_routed
 from undercut.sources.sinks import as_json_rows, read_batches
 from undercut.streaming.aggregation import read_aggregates, start_aggregation
 from undercut.streaming.enrichment import read_enriched, start_enrichment
@@ -416,6 +417,18 @@ def dim_latest(spark, sf_dir):
     return cdc.latest_by_key(cdc.unwrap_changes(changes(spark, sf_dir), "o_custkey"), "o_custkey")
 
 
+@query
+def cdc_routed_dimension(spark, sf_dir):
+    """The changes in two batches by topic, a snapshot between them, and one topic's latest rows."""
+    folder, log = shared_folder(spark, "routed"), changes(spark, sf_dir)
+    half = log.agg(F.expr("max(seq) div 2").alias("half")).first()["half"] or 0
+    image = T.StructType.fromDDL("o_custkey long, o_orderstatus string, o_totalprice double")
+    write_routed(log.where(F.col("seq") <= half), f"{folder}/log", 0)
+    take_snapshot(spark, f"{folder}/log", f"{folder}/snapshots", image, "driver-profiles")
+    write_routed(log.where(F.col("seq") > half), f"{folder}/log", 1)
+    return read_routed_dimension(spark, f"{folder}/log", f"{folder}/snapshots", image, "driver-profiles", "o_custkey")
+
+
 @query
 def cdc_compact(spark, sf_dir):
     return cdc.compact_changes(changes(spark, sf_dir)).select("key", "seq", "op", "after.o_totalprice")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from undercut.operators.cdc import latest_by_key, unwrap_changes
+from undercut.operators.cdc import compact_changes, latest_by_key, route_topic, unwrap_changes
 from undercut.schemas import changes_schema
+from undercut.sources.sinks import finished_batches, read_batches, write_batch
 
 
 def read_changes(
@@ -24,3 +26,43 @@ def read_dimension(spark: SparkSession, path: str, table: T.StructType, key: str
     once per batch.
     """
     return latest_by_key(unwrap_changes(read_changes(spark, path, table, fmt), key), key)
+
+
+def write_routed(changes: DataFrame, path: str, batch_id: int) -> None:
+    """One batch of change records, laid out by the topic each is routed to."""
+    write_batch(changes.withColumn("topic", route_topic(F.col("source_table"))), path, batch_id, by=("topic",))
+
+
+def _routed(spark: SparkSession, path: str, table: T.StructType, topic: str, after: int | None = None) -> DataFrame:
+    schema = T.StructType([*changes_schema(table).fields, T.StructField("topic", T.StringType())])
+    return read_batches(spark, path, schema, after=after).where(F.col("topic") == topic).drop("topic", "batch_id")
+
+
+def _changes_since(spark: SparkSession, path: str, snapshots: str, table: T.StructType, topic: str) -> DataFrame:
+    """The newest snapshot and the changes of the batches after it."""
+    taken = finished_batches(spark, snapshots)
+    if not taken:
+        return _routed(spark, path, table, topic)
+    base = read_batches(spark, snapshots, changes_schema(table), after=taken[-1] - 1).drop("batch_id")
+    return base.unionByName(_routed(spark, path, table, topic, after=taken[-1]))
+
+
+def take_snapshot(spark: SparkSession, path: str, snapshots: str, table: T.StructType, topic: str) -> None:
+    """Compact a topic's routed log: the newest change of each key, as of its last finished batch.
+
+    It reads the snapshot before and the batches since, not the whole history.
+    """
+    finished = finished_batches(spark, path)
+    if finished:
+        write_batch(compact_changes(_changes_since(spark, path, snapshots, table, topic)), snapshots, finished[-1])
+
+
+def read_routed_dimension(
+    spark: SparkSession, path: str, snapshots: str, table: T.StructType, topic: str, key: str
+) -> DataFrame:
+    """Latest row per key of a topic, from its newest snapshot and the changes since.
+
+    Meant to be called once per micro-batch: its cost is that of the dimension and of
+    the newest changes, however long the log has grown.
+    """
+    return latest_by_key(unwrap_changes(_changes_since(spark, path, snapshots, table, topic), key), key)

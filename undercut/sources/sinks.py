@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import re
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -56,6 +58,9 @@ class _Files:
                 found.append(file.toString()[len(root) + 1 :])
         return sorted(found)
 
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
     def move(self, source: str, target: str) -> None:
         self._fs.mkdirs(self._path(target).getParent())
         if not self._fs.rename(self._path(source), self._path(target)) and not self.exists(target):
@@ -93,17 +98,40 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", b
     files.create(f"{folder}/_SUCCESS")
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """The micro-batches that ``write_batch`` has finished, with ``batch_id``."""
-    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+def finished_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the micro-batches that ``write_batch`` has finished."""
     files = _Files(spark, path)
-    folders = [f"{path}/{name}" for name in files.children(path) if name.startswith("batch_id=")]
-    folders = [folder for folder in folders if files.exists(f"{folder}/_SUCCESS")]
+    found = [name for name in files.children(path) if name.startswith("batch_id=")]
+    return sorted(int(name.removeprefix("batch_id=")) for name in found if files.exists(f"{path}/{name}/_SUCCESS"))
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", after: int | None = None
+) -> DataFrame:
+    """The micro-batches that ``write_batch`` has finished, with ``batch_id``; only those after a number, if given."""
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    batches = [n for n in finished_batches(spark, path) if after is None or n > after]
+    folders = [f"{path}/batch_id={n}" for n in batches]
     if not folders:
         return spark.createDataFrame([], numbered)
     return spark.read.schema(numbered).format(fmt).option("basePath", path).load(folders)
 
 
+def expire(spark: SparkSession, path: str, before: datetime.date) -> list[str]:
+    """Delete the date folders of finished batches that lie wholly before a date, and name them.
+
+    A batch keeps its folder and mark, so that a retry does not write it again.
+    """
+    files, gone = _Files(spark, path), []
+    for n in finished_batches(spark, path):
+        for name in files.children(f"{path}/batch_id={n}"):
+            day = name.removeprefix("event_date=")
+            if day != name and re.fullmatch(r"\d{4}-\d\d-\d\d", day) and datetime.date.fromisoformat(day) < before:
+                files.delete(f"{path}/batch_id={n}/{name}")
+                gone.append(f"batch_id={n}/{name}")
+    return sorted(gone)
+
+
 def with_event_date(df: DataFrame, column: str = "timestamp_ms") -> DataFrame:
     """Add the layout column that retention filters prune by: the UTC date."""
     return df.withColumn("event_date", epoch_day(F.col(column)))
