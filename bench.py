@@ -43,8 +43,13 @@ HEADLINE = (
     "counter_rate",
     "recent_series",
     "parse_metric_text",
+    "tail_per_partition",
+    "recent_aggregates",
+    "cdc_routed_dimension",
     "stream_enrich",
     "stream_hop_metrics",
+    "stream_dead_letters",
+    "stream_predictions",
 )
 RUNS = 3
 
