@@ -8,6 +8,9 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +37,26 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base}/{purpose}-{uuid.uuid4().hex}"
 
 
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noted_tables() -> Iterator[list[str]]:
+    """The paths of all tables that are materialised inside, for whoever deletes them later."""
+    paths: list[str] = []
+    token = _NOTED.set(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.reset(token)
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df``, written once as a table in the shared folder and read back.
 
@@ -43,4 +66,6 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    if (noted := _NOTED.get()) is not None:
+        noted.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
