@@ -9,7 +9,7 @@ import re
 import numpy as np
 
 #: Stretches that a worker remembers, and the characters of the longest of them.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 1_200_000, 64
 
 
 @functools.lru_cache(maxsize=4)
@@ -27,6 +27,22 @@ def ids_of(path: str, texts: list[str]) -> list[bytes]:
     return [np.array(x.ids, "<u4").tobytes() for x in found]
 
 
+@functools.cache
+def _letters() -> dict[int, int]:
+    """How byte-level tokenizers write bytes: printable ones as they are, the others from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+def ids_of_words(path: str, words: list[str]) -> list[bytes]:
+    """Ids of words with a space in front, each a pre-token, by the library's model alone."""
+    tokenize, letters = library(path).model.tokenize, _letters()
+    return [
+        np.array([t.id for t in tokenize((" " + w).encode().decode("latin-1").translate(letters))], "<u4").tobytes() for w in words
+    ]
+
+
 @functools.lru_cache(maxsize=4)
 def encoder(path: str) -> ByteEncoder:
     return ByteEncoder(path)
@@ -40,6 +56,9 @@ class ByteEncoder:
     the library once in a while. Texts that hold a special token go through it whole.
     """
 
+    #: Letters, and marks after them if any: one or two pre-tokens. Only letters that are
+    #: so in every Unicode version.
+    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]{1,64})([,.;:!?]{0,8})")
     ODD = re.compile(r" (?!\S)")
     CUT = re.compile(r" (?=\S)")
 
@@ -47,11 +66,23 @@ class ByteEncoder:
         self.path = path
         self.special = [t.content for t in library(path).get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}  # by the stretch without the space in front
+        self.marks: dict[str, bytes] = {}
 
     def _learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.known]
-        if new:
-            self.known.update(zip(new, ids_of(self.path, [" " + p for p in new]), strict=True))
+        """Add stretches: words with or without marks after them by their pre-tokens, others whole."""
+        known, simple, whole = self.known, {}, []
+        for part in parts:
+            if part not in known:
+                if found := self.SIMPLE.fullmatch(part):
+                    simple[part] = found.groups()
+                else:
+                    whole.append(part)
+        words = list({w for w, _ in simple.values() if w not in known})
+        marks = list({m for _, m in simple.values() if m and m not in self.marks})
+        known.update(zip(words, ids_of_words(self.path, words), strict=True))
+        self.marks.update(zip(marks, ids_of(self.path, marks), strict=True))
+        known.update((part, known[w] + self.marks[m]) for part, (w, m) in simple.items() if m)
+        known.update(zip(whole, ids_of(self.path, [" " + p for p in whole]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole, cut, new = [], [], set()
@@ -72,8 +103,9 @@ class ByteEncoder:
             out[i] = head + b"".join(map(get, cut[i][1:]))
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.marks.clear()
         else:
             for part in new:
-                if len(part) > LONGEST:
+                if len(part) > LONGEST + 8:
                     del self.known[part]
         return [out[i] for i in range(len(texts))]
