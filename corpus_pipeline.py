@@ -2,36 +2,65 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from undercut.llm import decontamination, near_duplicates, packing, personal_data, quality
-from undercut.shared import materialise
+from undercut.shared import delete_tables, materialise, noted_tables
 
 #: Tokenizers, and so packed sequences, are beyond SQL.
 ORACLE_SQL = None
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Tables that a stage's result is still read from, by stage; as the next stage begins,
+#: that result has been written and they are deleted.
+_TABLES: dict[int, list[str]] = {}
+
+
+def stage(number: int) -> Callable[[Stage], Stage]:
+    def made(function: Stage) -> Stage:
+        @functools.wraps(function)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            delete_tables(spark, _TABLES.pop(number - 1, []))
+            with noted_tables() as tables:
+                result = function(spark, docs, sf_dir)
+            _TABLES[number] = tables
+            return result
+
+        return run_stage
+
+    return made
+
+
+@stage(0)
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised rules reject go."""
     return quality.drop_rejected(docs)
 
 
+@stage(1)
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, by the shingles of the registered query."""
     return near_duplicates.drop_duplicates(docs, width=2, percent=80)
 
 
+@stage(2)
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@stage(3)
 def personal_data_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the words that disclose it are replaced in the texts; all documents stay."""
     return personal_data.sanitise(docs)
 
 
+@stage(4)
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 tokens."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
@@ -49,6 +78,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     *stages, (_, last) = STAGES
-    for name, stage in stages:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for name, step in stages:
+        docs = materialise(step(spark, docs, sf_dir), name.replace(" ", "-"))
     return last(spark, docs, sf_dir)
