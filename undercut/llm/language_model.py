@@ -253,7 +253,7 @@ class Lookup:
     """Values of frequent keys in a table of open addresses, for whole arrays at a time."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(4 * len(keys)).bit_length())
+        bits = max(4, int(2 * len(keys)).bit_length())
         self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
         self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, np.nan)
         taken, left, self.probes = np.zeros(1 << bits, bool), np.arange(len(keys)), 0
@@ -328,6 +328,30 @@ def _scored(
             )
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The keys with the highest counts, ``most`` of them at most.
+
+    Counts are told apart by quarters of a power of two, so that the bound is found from
+    a few hundred numbers of keys and nothing is sorted or merged on the driver.
+    """
+    level = F.floor(4 * F.log2("n")).cast("int")
+    sizes = counts.where("n > 0").groupBy(level.alias("level")).agg(F.count("*").alias("keys")).collect()
+    left, lowest = most, None
+    for row in sorted(sizes, key=lambda r: -r["level"]):
+        left -= row["keys"]
+        if left < 0:
+            break
+        lowest = row["level"]
+    return counts.where((F.col("n") > 0) & (level >= lowest) if lowest is not None else F.lit(False))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole columns as bytes: 16 for each row on their way to the driver, and no objects."""
+    for batch in batches:
+        columns = (batch.column(name).to_numpy(zero_copy_only=False).tobytes() for name in ("key", "value"))
+        yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["keys", "values"])
+
+
 def score(
     docs: DataFrame, depth: int = DEPTH, frequent_grams: int = FREQUENT_GRAMS, frequent_words: int = FREQUENT_WORDS
 ) -> DataFrame:
@@ -352,9 +376,11 @@ def score(
     all_ = total["all"] + SMOOTHING * (total["distinct"] + 1)
     grams = materialise(context_tree(counts.where(F.col("kind") == GRAM).select("key", "n"), depth), "gram-scores")
 
-    def top(df: DataFrame, value: str, frequent: int) -> tuple[np.ndarray, np.ndarray]:
-        found = df.orderBy(F.desc("n"), "key").limit(frequent).select("key", F.col(value).cast("double").alias("value")).toPandas()
-        return found["key"].to_numpy(np.int64).view(np.uint64), found["value"].to_numpy(float)
+    def top(df: DataFrame, value: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+        found = frequent(df, most).select("key", F.col(value).cast("double").alias("value"))
+        parts = found.mapInArrow(_packed, "keys binary, values binary").collect()
+        keys, values = (b"".join(bytes(part[i]) for part in parts) for i in (0, 1))
+        return np.frombuffer(keys, np.uint64), np.frombuffer(values, float)
 
     scored = functools.partial(_scored, grams=top(grams, "value", frequent_grams), words=top(tokens, "n", frequent_words), all_=all_, depth=depth)
     schema = (
