@@ -140,6 +140,24 @@ def test_benchmark_passages(spark):
     assert multiset((r.text,) for r in kept) == multiset((t,) for t in clean)
 
 
+def test_benchmark_items_of_every_length(spark):
+    """Items of 1 to 14 words, alone and all in one table; documents as long, shorter and longer."""
+    item = lambda n: " ".join(f"i{n}w{k}" for k in range(n))
+    rows = []
+    for n in range(1, 15):
+        whole, part = item(n), " ".join(item(n).split()[1:])
+        rows += [(10 * n, whole), (10 * n + 1, part), (10 * n + 2, f"{prose(n, 30)} {whole} {prose(n + 50, 30)}"), (10 * n + 3, f"x {whole}")]
+    # The same four words as an item of their own and inside of a longer one.
+    tables = [[item(4)], [item(5)], [item(n) for n in range(1, 15)], [item(4), f"a b {item(4)} c d"]]
+    for items in tables:
+        windows = brute.benchmark_windows(enumerate(items))
+        for r in decontamination.find_passages(plain(spark, rows), benchmark(spark, *items), ("doc_id", "text")).collect():
+            assert (r.n_words, r.n_hit, set(r.items)) == brute.passages(r.text, windows)
+        kept = decontamination.drop_contaminated(plain(spark, rows), benchmark(spark, *items)).collect()
+        clean = [i for i, t in rows if not (n := brute.passages(t, windows))[1] or 20 * n[1] < n[0]]
+        assert sorted(r.doc_id for r in kept) == clean
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_near_duplicates(spark, width):
     rng, rows = random.Random(width), odd_rows()

@@ -19,26 +19,31 @@ HIT = "pos int, item_id {id}, at int, gram int, need int, around string"
 
 
 def family(need: int) -> int:
-    """Words in a fingerprinted gram for spans of ``need`` words.
+    """The least span whose fingerprints serve spans of ``need`` words.
 
-    The least gram hash is kept in every window of ``need - gram + 1`` grams, so that two
-    equal spans of ``need`` words keep the same gram. One gram size serves all spans from
-    13 words, one those from 7 to 12; shorter spans are grams themselves.
+    One family serves all spans from 13 words, one those from 7 to 12; shorter spans are
+    families of their own.
     """
-    return 7 if need >= SPAN else 4 if need >= 7 else need
+    return SPAN if need >= SPAN else 7 if need >= 7 else need
 
 
-def window(gram: int) -> int:
-    return {7: SPAN - 6, 4: 4}.get(gram, 1)
+def gram_size(kin: int) -> int:
+    """Words in a fingerprinted gram of a family; a short span is a gram itself."""
+    return {SPAN: 7, 7: 4}.get(kin, kin)
 
 
-def winnow(words: Words, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word indices and hashes of the grams kept in each text; all of equal least ones."""
-    width, rows = window(gram), words.rows
+def winnow(words: Words, kin: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word indices and hashes of the grams kept in each text; all of equal least ones.
+
+    The least gram hash is kept in every window of as many grams as the family's span
+    holds, so that two equal spans keep the same gram. The family is part of the hash.
+    """
+    gram, rows = gram_size(kin), words.rows
+    width = kin - gram + 1
     n = len(rows) - gram + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    found = mix(grams(words.hashes, gram) ^ np.uint64(gram))
+    found = mix(grams(words.hashes, gram) ^ np.uint64(kin))
     found[rows[:n] != rows[gram - 1 :]] = np.iinfo(np.uint64).max
     if n < width:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -53,12 +58,12 @@ def winnow(words: Words, gram: int) -> tuple[np.ndarray, np.ndarray]:
     return at, found[at]
 
 
-def _document_prints(batches: Iterator[pa.RecordBatch], gram_sizes: list[int]) -> Iterator[pa.RecordBatch]:
+def _document_prints(batches: Iterator[pa.RecordBatch], families: list[int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch):
             words = Words(rows.column("text"), ALNUM)
-            for gram in gram_sizes:
-                at, hashes = winnow(words, gram)
+            for kin in families:
+                at, hashes = winnow(words, kin)
                 pos = at - words.first[words.rows[at]]
                 prints = pa.StructArray.from_arrays(
                     [pa.array(pos.astype(np.int32)), pa.array(hashes.view(np.int64))], ["pos", "hash"]
@@ -74,12 +79,13 @@ def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batch):
             words = Words(rows.column("text"), ALNUM)
             counts, source, out = words.counts, [], []
-            for gram in sorted({family(min(SPAN, int(n))) for n in counts if n}):
-                for i, hashed in zip(*winnow(words, gram), strict=True):
+            for kin in sorted({family(min(SPAN, int(n))) for n in counts if n}):
+                gram = gram_size(kin)
+                for i, hashed in zip(*winnow(words, kin), strict=True):
                     row = int(words.rows[i])
                     first, n = int(words.first[row]), int(counts[row])
                     need = min(SPAN, n)
-                    if family(need) != gram:
+                    if family(need) != kin:
                         continue
                     pos = int(i) - first
                     left, right = max(0, pos - need + gram), min(n, pos + need)
@@ -161,10 +167,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...]
     prints = items.mapInArrow(
         _item_prints, f"item_id {types['item_id']}, hash long, at int, gram int, need int, around string"
     ).distinct()
-    gram_sizes = sorted(row["gram"] for row in prints.select("gram").distinct().collect())  # 8 at most
+    families = sorted({family(row["need"]) for row in prints.select("need").distinct().collect()})  # 8 at most
     texts = docs.where("text is not null").select("text", "t1", "t2")
     found = texts.mapInArrow(
-        functools.partial(_document_prints, gram_sizes=gram_sizes), "t1 long, t2 long, prints array<struct<pos:int,hash:bigint>>"
+        functools.partial(_document_prints, families=families), "t1 long, t2 long, prints array<struct<pos:int,hash:bigint>>"
     ).select("t1", "t2", F.inline("prints"))
     hits = found.join(prints, "hash").groupBy("t1", "t2")
     fields = F.struct("pos", "item_id", "at", "gram", "need", "around")
