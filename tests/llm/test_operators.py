@@ -9,6 +9,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tables import multiset, odd_rows, odd_table, plain, prose
 from tokenizers import Tokenizer
 
@@ -121,6 +122,20 @@ def test_disclosing_words_are_generalised_or_removed(spark):
     assert all(clean[i] == text for i, text in rows[6:])
 
 
+def test_word_that_discloses_two_values_is_removed_if_either_asks(spark):
+    """'zorkmid' is beside the address in all ten texts, beside the number in six; a third of its stem is elsewhere."""
+    rows = [(i, f"{prose(i, 30)} ann@x.org zorkmid +49 30 1234567 {prose(i + 50, 30)}") for i in range(6)]
+    rows += [(10 + i, f"{prose(i + 100, 30)} ann@x.org zorkmid {prose(i + 150, 30)}") for i in range(4)]
+    rows += [(100 + i, f"{prose(i + 200, 60)} zorching") for i in range(5)]
+    base = personal_data.base_spans(plain(spark, rows).withColumn("t1", F.xxhash64("text"))).where("size(base) > 0")
+    given = {(r.value, r.word): r.generalised for r in personal_data.disclosing_words(plain(spark, rows), base).collect()}
+    assert given["ann@x.org", "zorkmid"] == "" and given["+49 30 1234567", "zorkmid"] == "zor*"
+    found = {r.doc_id: r for r in personal_data.find(plain(spark, rows)).collect()}
+    for i, text in rows:
+        added = [s.value for s in found[i].added if text[s.start : s.end] == "zorkmid"]
+        assert added == ([""] if i < 100 else [])
+
+
 def test_benchmark_passages(spark):
     long_item, short_item = prose(900, 40), "tiny item of six odd words"
     items = [long_item, short_item, "single", None, "", short_item, " ".join(["again"] * 20)]

@@ -194,7 +194,9 @@ def find(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     plain, found = rows.where("size(base) = 0"), rows.where("size(base) > 0")
     given = disclosing_words(docs.select("text"), found.select("t1", "text", "base"))
     values = found.select("t1", "t2", F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("value")).distinct()
-    terms = values.join(given, "value").groupBy("t1", "t2").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("word", "generalised")))).alias("_terms"))
+    # A word may give away two values with different outcomes; the least, removal, wins.
+    terms = values.join(given, "value").groupBy("t1", "t2", "word").agg(F.min("generalised").alias("generalised"))
+    terms = terms.groupBy("t1", "t2").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("word", "generalised")))).alias("_terms"))
     joined = found.join(terms, ["t1", "t2"], "left")
     joined = with_spans(joined, "_words", WORD, TERM, len(KINDS), F.col("_terms").isNotNull())
     # Only spans of the text's own terms are left before anything is compared with the base.
