@@ -136,6 +136,20 @@ def test_word_that_discloses_two_values_is_removed_if_either_asks(spark):
         assert added == ([""] if i < 100 else [])
 
 
+def test_disclosing_words_go_from_texts_without_the_value(spark):
+    """Two of eight texts with 'zorkmid' hold no personal data, one holds other data."""
+    rows = [(i, f"{prose(i, 30)} zorkmid ann@x.org {prose(i + 50, 30)}") for i in range(6)]
+    rows += [(10, f"{prose(10, 30)} Zorkmid, once"), (11, "zorkmid zorkmids"), (12, "zorkmid of 10.0.0.255"), (13, None), (13, None), (14, "")]
+    found = {r.doc_id: r for r in personal_data.find(plain(spark, rows)).collect()}
+    for i, text in rows:
+        added = [text[s.start : s.end] for s in found[i].added] if text else found[i].added
+        assert [a for a in added if "orkmid" in a] == ({10: ["Zorkmid"], 13: [], 14: []}.get(i, ["zorkmid"]))
+        assert found[i].text == text
+    clean = {r.doc_id: r.text for r in personal_data.sanitise(plain(spark, rows)).collect()}
+    assert (clean[11], clean[12], clean[13], clean[14]) == (" zorkmids", " of [IP]", None, "")
+    assert clean[10].endswith(" , once") and len(found) == len(clean) == 11
+
+
 def test_benchmark_passages(spark):
     long_item, short_item = prose(900, 40), "tiny item of six odd words"
     items = [long_item, short_item, "single", None, "", short_item, " ".join(["again"] * 20)]

@@ -174,11 +174,12 @@ def find(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """The documents with ``base`` and ``added``: spans of personal data, and of words that disclose it.
 
     Base spans are the leftmost matches of each kind that pass its test. A span is added
-    for each word of a text with base spans that discloses one of their values (see
-    ``disclosing_words``), unless it touches a base span; its value is the replacement.
-    Places are in code points, ends exclusive. Only texts with base spans take part in
-    the joins; a value in a third of all texts is summed before it moves, and its rows in
-    the join by value are split when they are many.
+    for each word of any text that discloses a value of the corpus (see
+    ``disclosing_words``), whether or not the text holds the value, unless the span
+    touches a base span; its value is the replacement. Places are in code points, ends
+    exclusive. Distinct words of each text meet the disclosing words, one row each, in an
+    equi-join: those are broadcast only below the session's threshold, and hot words are
+    split otherwise.
 
     ``carry`` names the columns that come along (all by default). A null text counts as
     empty and stays null. Repeated rows are treated alike; copies of a text count once
@@ -186,18 +187,16 @@ def find(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """
     made = ("base", "added", "t1", "t2")
     carry = [c for c in (docs.columns if carry is None else carry) if c not in made]
-    rows = docs.select(*(c for c in docs.columns if c in carry or c == "text"), F.col("text").alias("_own"))
+    rows = docs.select(*(c for c in docs.columns if c in carry or c == "text"), F.col("text").isNull().alias("_null"))
     rows = base_spans(rows).withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("second"), F.col("text"))})
-    if "text" not in carry:
-        rows = rows.withColumn("text", F.when(F.size("base") > 0, F.col("text"))).drop("_own")
     rows = materialise(rows, "spans")
-    plain, found = rows.where("size(base) = 0"), rows.where("size(base) > 0")
-    given = disclosing_words(docs.select("text"), found.select("t1", "text", "base"))
-    values = found.select("t1", "t2", F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("value")).distinct()
+    given = disclosing_words(docs.select("text"), rows.where("size(base) > 0").select("t1", "text", "base"))
     # A word may give away two values with different outcomes; the least, removal, wins.
-    terms = values.join(given, "value").groupBy("t1", "t2", "word").agg(F.min("generalised").alias("generalised"))
-    terms = terms.groupBy("t1", "t2").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("word", "generalised")))).alias("_terms"))
-    joined = found.join(terms, ["t1", "t2"], "left")
+    given = materialise(given.groupBy("word").agg(F.min("generalised").alias("generalised")), "disclosing")
+    words = rows.select("t1", "t2", F.explode(F.array_distinct(F.split(F.lower("text"), BETWEEN))).alias("word"))
+    terms = words.where("word <> ''").join(given, "word").groupBy("t1", "t2")
+    terms = terms.agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("word", "generalised")))).alias("_terms"))
+    joined = rows.join(terms, ["t1", "t2"], "left")
     joined = with_spans(joined, "_words", WORD, TERM, len(KINDS), F.col("_terms").isNotNull())
     # Only spans of the text's own terms are left before anything is compared with the base.
     named = F.filter("_words", lambda s: F.array_contains(F.map_keys("_terms"), F.lower(s["value"])))
@@ -208,10 +207,9 @@ def find(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         lambda s: F.struct(s["start"], s["end"], s["rank"], s["kind"], F.element_at("_terms", F.lower(s["value"])).alias("value")),
     )
     joined = joined.withColumn("added", F.coalesce(added.cast(f"array<{SPAN}>"), _none()))
-    out = joined.select(*rows.columns, "added").unionByName(plain.withColumn("added", _none()))
     if "text" in carry:
-        out = out.withColumn("text", F.col("_own"))
-    return out.select(*carry, "base", "added")
+        joined = joined.withColumn("text", F.when(~F.col("_null"), F.col("text")))
+    return joined.select(*carry, "base", "added")
 
 
 def span_list(spans: Column) -> Column:
