@@ -108,6 +108,14 @@ def test_personal_data_spans(spark):
     assert sum(r.text is None for r in clean) == 3 and {r.base for r in clean} == {"b"}
 
 
+def test_personal_data_spans_of_one_start_go_by_kind(spark):
+    """Addresses whose local part is a number or a card by itself: the address comes first, though it is longer."""
+    texts = ["+14155550123@sms.example.com", "4111111111111111@x.com", "to +14155550123@sms.example.com and 4111111111111111@x.com."]
+    for r in personal_data.find(plain(spark, list(enumerate(texts)))).collect():
+        assert [(s.kind, s.start, s.end) for s in r.base] == brute.personal(texts[r.doc_id])
+    assert [kind for kind, _, _ in brute.personal(texts[2])] == ["email", "phone", "email", "card"]
+
+
 def test_disclosing_words_are_generalised_or_removed(spark):
     """'zorkmid' occurs only beside one address, 'tea' everywhere; 'wizardry' has kin far from it."""
     rows = [(i, f"{prose(i, 30)} the wizardry zorkmid tea zorkmid@x.org {prose(i + 50, 30)}") for i in range(6)]

@@ -33,7 +33,8 @@ STEM = 3
 TERM = "term"
 BETWEEN = r"[\s.,;:!?()\[\]{}\"'<>|]+"
 WORD = r"[^\s.,;:!?()\[\]{}\"'<>|]+"
-SPAN = "struct<start:int,end:int,rank:int,kind:string,value:string>"
+#: In this order spans sort as the contract lists them: by start, then kind.
+SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string>"
 #: Matches or spans gone through in one step; lists are put together from such blocks.
 BLOCK = 128
 
@@ -99,14 +100,14 @@ def with_spans(df: DataFrame, into: str, pattern: str, kind: str, rank: int, pre
     def step(state, x):
         begin = state["at"] + x["gap"]
         end = begin + F.length(x["value"])
-        parts = (begin.alias("start"), end.alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), x["value"].alias("value"))
+        parts = (begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(F.struct(*parts))).alias("spans"))
 
     def lift(state, block):
         moved = F.transform(
             block["spans"],
             lambda s: F.struct(
-                (s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end"), s["rank"], s["kind"], s["value"]
+                (s["start"] + state["at"]).alias("start"), s["rank"], (s["end"] + state["at"]).alias("end"), s["kind"], s["value"]
             ),
         )
         return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["done"], F.array(moved)).alias("done"))
@@ -204,7 +205,7 @@ def find(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     apart = F.filter("_named", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     added = F.transform(
         apart,
-        lambda s: F.struct(s["start"], s["end"], s["rank"], s["kind"], F.element_at("_terms", F.lower(s["value"])).alias("value")),
+        lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"], F.element_at("_terms", F.lower(s["value"])).alias("value")),
     )
     joined = joined.withColumn("added", F.coalesce(added.cast(f"array<{SPAN}>"), _none()))
     if "text" in carry:
