@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from undercut.llm import conversations, decontamination, language_model, near_duplicates, packing, personal_data, quality, sharding, substrings, token_counts
+from undercut.llm import (
+    conversations,
+    decontamination,
+    fill_middle,
+    language_model,
+    merkle,
+    near_duplicates,
+    nearest,
+    packing,
+    personal_data,
+    quality,
+    sharding,
+    substrings,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +113,29 @@ def op10_token_counts(spark, sf_dir):
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op11_posting_lists(spark, sf_dir):
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    shown = F.when(tampered, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    carry = {"doc_id": F.col("doc_id"), "shown": merkle.leaf(*(F.col(name) for name in fields), shown)}
+    found = merkle.manifest(table(spark, sf_dir, "documents"), [*fields, "text"], by="source", key="doc_id", carry=carry)
+    found = found.withColumn("folded_root", merkle.folded(F.col("shown"), F.col("path")))
+    proof = F.sha2(merkle.siblings(F.col("path")), 256)
+    verified = F.col("folded_root") == F.col("root")
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", verified.alias("verified"))
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    hashed = {"output_sha256": F.col("output"), "restored_sha256": fill_middle.restored(F.col("output"))}
+    names = "doc_id n form prefix_chars middle_chars".split()
+    return made.select(*names, *(F.sha2(text, 256).alias(name) for name, text in hashed.items()))
