@@ -7,7 +7,6 @@ from undercut.schemas import DRIVERS, changes_schema
 from undercut.sources.changes import (
     read_changes, read_dimension, read_routed_dimension, take_snapshot, write_routed,
 )
-from undercut.sources.sinks import expire, read_batches, with_event_date, write_batch
 
 
 def driver(key, name):
@@ -112,13 +111,3 @@ def test_second_read_takes_the_snapshot_and_newer_batches_only(spark, folder):
     again = read_routed_dimension(*arguments)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
     assert not any("/log/" in f for f in again.inputFiles())
-
-
-def test_expired_days_go_and_stay_away(spark, folder):
-    day = 86_400_000
-    df = with_event_date(spark.createDataFrame([(0,), (day,), (2 * day + 5,)], "timestamp_ms long"))
-    write_batch(df, folder, 0, by=("event_date",))
-    gone = expire(spark, folder, dt.date(1970, 1, 3))
-    assert gone == ["batch_id=0/event_date=1970-01-01", "batch_id=0/event_date=1970-01-02"]
-    write_batch(df, folder, 0, by=("event_date",))  # a late retry
-    assert [r.timestamp_ms for r in read_batches(spark, folder, df.schema).collect()] == [2 * day + 5]

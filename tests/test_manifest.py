@@ -1,0 +1,260 @@
+"""Batches broken off at every step, upkeep of sinks, and what readers see of it."""
+
+import json
+import os
+
+import pytest
+from conftest import circuits_df, drivers_df, event, events_df
+from pyspark.sql import functions as F
+
+from undercut.schemas import AGGREGATES, DRIVERS, ENRICHED, changes_schema
+from undercut.sources import manifest as manifests
+from undercut.sources.changes import dimension_version, read_routed_dimension, take_snapshot, write_routed
+from undercut.sources.events import read_events
+from undercut.sources.manifest import Manifest
+from undercut.sources.sinks import expire, finished_batches, read_batches, write_aggregates, write_batch
+from undercut.streaming.aggregation import fold_aggregates, read_aggregates
+from undercut.streaming.enrichment import read_enriched, start_enrichment
+
+NOW = {"availableNow": True}
+
+
+class Broken(Exception):
+    pass
+
+
+#: Where a write may end: each is a call on the way from the first file to the published batch.
+STEPS = ["below", "make", "create", "move", "put_if_absent", "_publish"]
+
+
+@pytest.fixture
+def break_at(monkeypatch):
+    """Let the next write end before or after a step."""
+
+    def armed(step, after):
+        files = Manifest if step == "_publish" else manifests.Files
+        name = "put_if_absent" if step == "create" else step
+        true = getattr(files, name)
+
+        def ends(self, *arguments):
+            monkeypatch.setattr(files, name, true)
+            if step == "create":  # the file is begun and nothing is in it
+                folder, _, file = arguments[0].rpartition("/")
+                self._fs.create(self._path(f"{folder}/.{file}-begun"), False).close()
+            elif after:
+                true(self, *arguments)
+            raise Broken(step)
+
+        monkeypatch.setattr(files, name, ends)
+
+    return armed
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+def test_a_batch_that_breaks_off_counts_once(spark, folder, break_at, step, after):
+    rows = spark.range(5).withColumn("part", F.col("id") % 2).repartition(3)
+    write_batch(rows, folder, 0, by=("part",))
+    break_at(step, after)
+    with pytest.raises(Broken):
+        write_batch(rows, folder, 1, by=("part",))
+    committed = step == "_publish" or (step in ("move", "put_if_absent") and after)
+    assert finished_batches(spark, folder) == ([0, 1] if committed else [0])
+    assert read_batches(spark, folder, rows.schema).count() == (10 if committed else 5)
+    others = rows.orderBy(F.desc("id")).coalesce(1)
+    write_batch(others, folder, 1, by=("part",))  # the repeat deals rows out otherwise
+    write_batch(others, folder, 1, by=("part",))
+    found = read_batches(spark, folder, rows.schema)
+    assert sorted((r.batch_id, r.id) for r in found.collect()) == [(b, i) for b in (0, 1) for i in range(5)]
+    streamed = spark.readStream.schema(found.schema).parquet(folder)
+    streamed.writeStream.format("memory").queryName(f"seen_{step}_{after}").option("checkpointLocation", f"{folder}-cp").trigger(**NOW).start().awaitTermination()
+    assert spark.table(f"seen_{step}_{after}").count() == 10
+
+
+def test_two_writers_of_one_batch(spark, folder):
+    """Both write their files before either commits; one counts, for both."""
+    first, put = Manifest(spark, folder), manifests.Files.put_if_absent
+    second_done = []
+
+    def slow(self, path, text):
+        if not second_done:
+            second_done.append(True)
+            assert Manifest(spark, folder).write(spark.range(7), 0, "parquet")
+        return put(self, path, text)
+
+    manifests.Files.put_if_absent = slow
+    try:
+        assert not first.write(spark.range(3), 0, "parquet")
+    finally:
+        manifests.Files.put_if_absent = put
+    assert read_batches(spark, folder, spark.range(1).schema).count() == 7
+    assert os.listdir(f"{folder}/_attempts") == []
+
+
+def test_entries_are_gathered_and_one_range_is_one_read(spark, folder, monkeypatch):
+    monkeypatch.setattr(manifests, "RANGE", 4)
+    for n in range(10):
+        write_batch(spark.range(n, n + 1), folder, n)
+    opened, read = [], manifests.Files.read
+    monkeypatch.setattr(manifests.Files, "read", lambda self, path: opened.append(os.path.basename(path)) or read(self, path))
+    assert read_batches(spark, folder, spark.range(1).schema).count() == 10
+    assert opened == ["state-2.json", "batch-8.json", "batch-9.json"]
+    opened.clear()
+    assert [r.id for r in read_batches(spark, folder, spark.range(1).schema, after=8).collect()] == [9]
+    assert opened == ["state-2.json", "batch-9.json"]
+
+
+def test_clean_leaves_what_is_live(spark, folder):
+    for n in range(3):
+        write_batch(spark.range(3 * n, 3 * n + 3).coalesce(1), folder, n, bounds=("id",))
+    os.makedirs(f"{folder}/_attempts/1-lost")
+    os.makedirs(f"{folder}/_attempts/3-running")
+    running = read_batches(spark, folder, spark.range(1).schema)
+    assert expire(spark, folder, 4, "id") == [f"batch_id=0/{f['path']}" for f in entry_files(folder, 0)]
+    assert running.count() == 9  # a reader from before finds its files
+    manifest = Manifest(spark, folder)
+    manifest.clean()
+    assert os.path.isdir(f"{folder}/batch_id=0") and os.path.isdir(f"{folder}/_attempts/1-lost")
+    gone = manifest.clean(grace_ms=-1000)
+    assert "batch_id=0" in gone and "_attempts/1-lost" in gone and "_attempts/3-running" not in gone
+    assert sorted(r.id for r in read_batches(spark, folder, spark.range(1).schema).collect()) == list(range(3, 9))
+    write_batch(spark.range(3), folder, 0)  # a late repeat
+    assert finished_batches(spark, folder) == [1, 2]
+
+
+def entry_files(folder, n):
+    with open(f"{folder}/_log/batch-{n}.json") as file:
+        return json.load(file)["files"]
+
+
+def test_files_with_rows_on_both_sides_stay(spark, folder):
+    hour = 3_600_000
+    rows = spark.createDataFrame([(i * hour, i // 3) for i in range(9)], "timestamp_ms long, part int")
+    write_batch(rows.coalesce(1), folder, 0, by=("part",), bounds=("timestamp_ms",))
+    assert [g.split("/")[1] for g in expire(spark, folder, 4 * hour)] == ["part=0"]
+    left = read_batches(spark, folder, rows.schema)
+    assert sorted(r.timestamp_ms // hour for r in left.collect()) == list(range(3, 9))
+    assert {r.batch_id for r in left.collect()} == {0}
+    assert expire(spark, folder, 4 * hour) == []
+    assert len(expire(spark, folder, 100 * hour)) == 2 and read_batches(spark, folder, rows.schema).count() == 0
+
+
+# Folding
+
+
+def emission(spark, *rows):
+    """(car, window number, count) as emitted window metrics of 10 s."""
+    return spark.createDataFrame([(c, 10_000 * w, 10_000 * w + 30_000, 1.0, 2.0, 3.0, 4.0, n) for c, w, n in rows], AGGREGATES)
+
+
+def current(spark, folder):
+    return sorted((r.car_id, r.window_start_ms // 10_000, r.event_count) for r in read_aggregates(spark, folder).collect())
+
+
+def parts_read(spark, folder):
+    return sorted({f.split(f"{folder}/")[1].split("/")[0] for f in read_aggregates(spark, folder).inputFiles()})
+
+
+def test_closed_windows_are_written_once(spark, folder):
+    write_aggregates(emission(spark, ("A", 0, 1), ("A", 1, 1)), folder, 0)
+    write_aggregates(emission(spark, ("A", 1, 2), ("A", 9, 1)), folder, 1)
+    before = read_aggregates(spark, folder)
+    expect = [("A", 0, 1), ("A", 1, 2), ("A", 9, 1)]
+    assert fold_aggregates(spark, folder, lateness_ms=50_000) == 40_000
+    assert current(spark, folder) == expect and before.count() == 3
+    closed = [p for p in Manifest(spark, folder).parts() if p.info.get("closed")]
+    assert sum(f["rows"] for p in closed for f in p.files) == 2
+    assert parts_read(spark, folder) == ["_folded"]
+    assert fold_aggregates(spark, folder, 50_000) is None
+    write_aggregates(emission(spark, ("A", 9, 5), ("B", 12, 1)), folder, 2)
+    assert parts_read(spark, folder) == ["_folded", "batch_id=2"]
+    expect = [("A", 0, 1), ("A", 1, 2), ("A", 9, 5), ("B", 12, 1)]
+    assert current(spark, folder) == expect
+    assert fold_aggregates(spark, folder, 10_000) == 110_000
+    assert [p for p in Manifest(spark, folder).parts() if p.info.get("closed")][0] == closed[0]
+    Manifest(spark, folder).clean(grace_ms=-1000)
+    assert current(spark, folder) == expect
+
+
+def test_a_batch_committed_while_folding_stays(spark, folder, monkeypatch):
+    write_aggregates(emission(spark, ("A", 0, 1), ("A", 5, 1)), folder, 0)
+    replaced = Manifest.replaced
+
+    def late(self, change):
+        monkeypatch.setattr(Manifest, "replaced", replaced)
+        write_aggregates(emission(spark, ("A", 5, 7)), folder, 1)
+        return replaced(self, change)
+
+    monkeypatch.setattr(Manifest, "replaced", late)
+    assert fold_aggregates(spark, folder, 0) is not None
+    assert current(spark, folder) == [("A", 0, 1), ("A", 5, 7)]
+
+
+def test_the_slower_of_two_foldings_changes_nothing(spark, folder, monkeypatch):
+    write_aggregates(emission(spark, ("A", 0, 1), ("A", 5, 1)), folder, 0)
+    replaced = Manifest.replaced
+
+    def late(self, change):
+        monkeypatch.setattr(Manifest, "replaced", replaced)
+        assert fold_aggregates(spark, folder, 0) is not None
+        return replaced(self, change)
+
+    monkeypatch.setattr(Manifest, "replaced", late)
+    assert fold_aggregates(spark, folder, 0) is None
+    assert current(spark, folder) == [("A", 0, 1), ("A", 5, 1)]
+
+
+# Versions of dimensions
+
+
+def test_a_repeat_joins_the_values_of_the_first_try(spark, folder, monkeypatch):
+    log, snapshots, schema = f"{folder}/log", f"{folder}/snapshots", changes_schema(DRIVERS)
+
+    def change(seq, name):
+        row = ("u", seq, "db.public.drivers", "DRV_01", ("DRV_01", name, "ABC", "T", 1, "N", 0, 0))
+        write_routed(spark.createDataFrame([row], schema), log, seq)
+
+    def run():
+        start_enrichment(
+            read_events(spark, f"{folder}/raw", streaming=True),
+            lambda s, version: (
+                circuits_df(s, "C01"),
+                read_routed_dimension(s, log, snapshots, DRIVERS, "driver-profiles", "driver_id", version),
+            ),
+            f"{folder}/enriched", f"{folder}/cp", as_of_ms=1, trigger=NOW,
+            versions=lambda s: dimension_version(s, log, snapshots),
+        ).awaitTermination()
+
+    events_df(spark, event()).write.parquet(f"{folder}/raw")
+    change(0, "first")
+    write = Manifest.write
+
+    def broken(self, df, *rest, **named):
+        df.collect()
+        raise Broken("before the commit")
+
+    monkeypatch.setattr(Manifest, "write", broken)
+    with pytest.raises(Exception, match="before the commit"):
+        run()
+    monkeypatch.setattr(Manifest, "write", write)
+    change(1, "second")
+    take_snapshot(spark, log, snapshots, DRIVERS, "driver-profiles")
+    run()
+    assert [r.driver_full_name for r in read_enriched(spark, f"{folder}/enriched").collect()] == ["first"]
+    (part,) = Manifest(spark, f"{folder}/enriched").parts()
+    assert part.info["dimensions"] == {"snapshot": None, "through": 0}
+    events_df(spark, event(timestamp_ms=2_000)).write.mode("append").parquet(f"{folder}/raw")
+    run()
+    rows = read_enriched(spark, f"{folder}/enriched").orderBy("timestamp_ms").collect()
+    assert [r.driver_full_name for r in rows] == ["first", "second"]
+
+
+def test_the_enriched_table_is_that_of_committed_batches(spark, folder):
+    from undercut.operators.enrich import enrich
+
+    rows = enrich(events_df(spark, event()), circuits_df(spark, "C01"), drivers_df(spark, "DRV_01"), 1)
+    rows = rows.withColumn("event_date", F.lit("2024-01-01").cast("date"))
+    write_batch(rows, folder, 0, by=("event_date",))
+    rows.write.partitionBy("event_date").parquet(f"{folder}/batch_id=1")  # of nobody's list
+    assert read_enriched(spark, folder).count() == 1
+    assert read_batches(spark, folder, ENRICHED).count() == 1

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import datetime
-import re
 import uuid
+from collections.abc import Iterable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,121 +12,92 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from undercut.functions.text import epoch_day
 from undercut.operators.quality import sanitize_numeric
+from undercut.sources.manifest import Manifest, Part
 
 
-class _Files:
-    """The few file operations of a commit, on whatever store the path is in."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def exists(self, path: str) -> bool:
-        return self._fs.exists(self._path(path))
-
-    def create(self, path: str, text: str = "") -> bool:
-        """Whether this call made the file; one that exists is left alone."""
-        try:
-            out = self._fs.create(self._path(path), False)
-        except Py4JJavaError:
-            if self.exists(path):
-                return False
-            raise
-        out.write(bytearray(text.encode()))
-        out.close()
-        return True
-
-    def read(self, path: str) -> str:
-        stream = self._fs.open(self._path(path))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def children(self, path: str) -> list[str]:
-        return [x.getPath().getName() for x in self._fs.listStatus(self._path(path))] if self.exists(path) else []
-
-    def below(self, path: str) -> list[str]:
-        """Data files below a folder, relative to it, in a fixed order."""
-        root = self._fs.makeQualified(self._path(path)).toString()
-        found, files = [], self._fs.listFiles(self._path(path), True)
-        while files.hasNext():
-            file = files.next().getPath()
-            if not file.getName().startswith(("_", ".")):
-                found.append(file.toString()[len(root) + 1 :])
-        return sorted(found)
-
-    def delete(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)
-
-    def move(self, source: str, target: str) -> None:
-        self._fs.mkdirs(self._path(target).getParent())
-        if not self._fs.rename(self._path(source), self._path(target)) and not self.exists(target):
-            raise OSError(f"cannot move {source} to {target}")
-
-
-def is_committed(spark: SparkSession, folder: str) -> bool:
-    """Whether a write to the folder has finished."""
-    return _Files(spark, folder).exists(f"{folder}/_SUCCESS")
-
-
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", by: tuple[str, ...] = ()) -> None:
-    """Write one micro-batch to its own folder, exactly once.
-
-    An attempt is written where readers do not look. A decision file, which is made once,
-    names the attempt that counts; its files are then moved to the batch's folder and the
-    folder is marked. A repeated batch takes up the attempt decided on and moves what is
-    left of it, so a stream that reads the folder sees each file once, and no row of
-    another attempt, wherever the first run broke off. An attempt without a decision
-    stays unread below ``_staging``.
+#: What is noted of each file of window metrics, for folding and retention.
+WINDOW_BOUNDS = ("window_start_ms", "window_end_ms")
+
+
+def write_batch(
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    fmt: str = "parquet",
+    by: tuple[str, ...] = (),
+    bounds: tuple[str, ...] = (),
+    info: dict | None = None,
+) -> bool:
+    """Write one micro-batch, exactly once; whether this call committed it.
+
+    See ``undercut.sources.manifest``: an attempt counts if its entry in the sink's list is
+    the first of its batch, and a repeat of a committed batch writes nothing. Least and
+    greatest values of the numeric columns in ``bounds`` are noted by file.
     """
-    spark = df.sparkSession
-    folder, staging = f"{path}/batch_id={batch_id}", f"{path}/_staging/batch_id={batch_id}"
-    files = _Files(spark, path)
-    if files.exists(f"{folder}/_SUCCESS"):
-        return
-    decision = f"{staging}/decision"
-    if not files.exists(decision):
-        attempt = uuid.uuid4().hex
-        df.write.partitionBy(*by).format(fmt).save(f"{staging}/{attempt}")
-        files.create(decision, attempt)
-    attempt = f"{staging}/{files.read(decision)}"
-    for file in files.below(attempt):
-        files.move(f"{attempt}/{file}", f"{folder}/{file}")
-    files.create(f"{folder}/_SUCCESS")
+    return Manifest(df.sparkSession, path).write(df, batch_id, fmt, by, bounds, info)
 
 
 def finished_batches(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the micro-batches that ``write_batch`` has finished."""
-    files = _Files(spark, path)
-    found = [name for name in files.children(path) if name.startswith("batch_id=")]
-    return sorted(int(name.removeprefix("batch_id=")) for name in found if files.exists(f"{path}/{name}/_SUCCESS"))
+    """Numbers of the live micro-batches of a sink."""
+    return sorted({part.batch for part in Manifest(spark, path).parts()})
+
+
+def read_parts(spark: SparkSession, path: str, parts: Iterable[Part], schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The rows of live parts with their ``batch_id``; what upkeep has made has that of its last batch."""
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    parts = list(parts)
+    places = [p for part in parts if part.folder.startswith("batch_id=") for p in part.paths(path)]
+    made = [part for part in parts if not part.folder.startswith("batch_id=")]
+    found = spark.read.schema(numbered).format(fmt).option("basePath", path).load(places) if places else None
+    for part in made:
+        # A folder of its own, so that the folders above it are not taken for columns.
+        rows = spark.read.schema(schema).format(fmt).option("basePath", f"{path}/{part.folder}").load(part.paths(path))
+        rows = rows.withColumn("batch_id", F.lit(part.batch).cast("long"))
+        found = rows if found is None else found.unionByName(rows)
+    return spark.createDataFrame([], numbered) if found is None else found
 
 
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", after: int | None = None
 ) -> DataFrame:
-    """The micro-batches that ``write_batch`` has finished, with ``batch_id``; only those after a number, if given."""
-    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    batches = [n for n in finished_batches(spark, path) if after is None or n > after]
-    folders = [f"{path}/batch_id={n}" for n in batches]
-    if not folders:
-        return spark.createDataFrame([], numbered)
-    return spark.read.schema(numbered).format(fmt).option("basePath", path).load(folders)
+    """The committed micro-batches with ``batch_id``; only those after a number, if given."""
+    manifest = Manifest(spark, path)
+    return read_parts(spark, path, manifest.parts() if after is None else manifest.after(after), schema, fmt)
+
+
+def write_part(df: DataFrame, path: str, batch: int, fmt: str, info: dict, bounds: tuple[str, ...] = ()) -> Part:
+    """Rows that upkeep makes of batches up to a number; live once a generation names them."""
+    folder = f"_folded/{batch}-{uuid.uuid4().hex}"
+    manifest = Manifest(df.sparkSession, path)
+    df.write.format(fmt).save(f"{path}/{folder}")
+    return Part(folder, batch, tuple(manifest.listed(f"{path}/{folder}", fmt, df, bounds)), info)
 
 
-def expire(spark: SparkSession, path: str, before: datetime.date) -> list[str]:
-    """Delete the date folders of finished batches that lie wholly before a date, and name them.
+def expire(spark: SparkSession, path: str, before: int, column: str = "timestamp_ms") -> list[str]:
+    """Take files that lie wholly before a time out of a sink, and name them.
 
-    A batch keeps its folder and mark, so that a retry does not write it again.
+    The bounds of each file decide (``write_batch`` with ``bounds``), so a retention of hours
+    needs no layout by date; a file with rows on both sides stays until all are older. Readers
+    see the change when they next resolve the sink's list, and ``Manifest.clean`` deletes
+    the files when readers from before have had time to finish. A batch stays committed, so
+    that a retry does not write it again.
     """
-    files, gone = _Files(spark, path), []
-    for n in finished_batches(spark, path):
-        for name in files.children(f"{path}/batch_id={n}"):
-            day = name.removeprefix("event_date=")
-            if day != name and re.fullmatch(r"\d{4}-\d\d-\d\d", day) and datetime.date.fromisoformat(day) < before:
-                files.delete(f"{path}/batch_id={n}/{name}")
-                gone.append(f"batch_id={n}/{name}")
+    manifest, gone = Manifest(spark, path), []
+
+    def kept(parts: list[Part]) -> list[Part]:
+        gone.clear()
+        live = []
+        for part in parts:
+            old = [f for f in part.files if (high := f.get("high", {}).get(column)) is not None and high < before]
+            gone.extend(f"{part.folder}/{file['path']}" for file in old)
+            left = tuple(f for f in part.files if f not in old)
+            if left or not old:
+                live.append(part if not old else Part(part.folder, part.batch, left, part.info, whole=False))
+        return live
+
+    if any(f.get("high", {}).get(column, before) < before for part in manifest.parts() for f in part.files):
+        while not manifest.replaced(kept):
+            pass
     return sorted(gone)
 
 
@@ -145,7 +114,7 @@ def as_json_rows(df: DataFrame, key: str = "car_id") -> DataFrame:
 
 def write_aggregates(df: DataFrame, path: str, batch_id: int) -> None:
     """One micro-batch of window metrics as JSON rows."""
-    write_batch(sanitize_numeric(df), path, batch_id, "json")
+    write_batch(sanitize_numeric(df), path, batch_id, "json", bounds=WINDOW_BOUNDS)
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, name: str) -> DataStreamWriter:

@@ -12,10 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from undercut.operators.enrich import enrich
 from undercut.operators.quality import quarantined, to_dead_letter, valid, validate_events
 from undercut.schemas import ENRICHED
-from undercut.sources.sinks import with_event_date, write_batch
+from undercut.sources.manifest import Manifest
+from undercut.sources.sinks import read_batches, with_event_date, write_batch
 from undercut.streaming.settings import DEFAULT_TRIGGER
 
-Dimensions = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
+Dimensions = Callable[..., tuple[DataFrame, DataFrame]]
 
 ENRICHED_LAYOUT = T.StructType(
     [*ENRICHED.fields, T.StructField("batch_id", T.LongType()), T.StructField("event_date", T.DateType())]
@@ -33,6 +34,7 @@ def start_enrichment(
     trigger: dict | None = None,
     dead_path: str | None = None,
     topic: str = "raw-telemetry",
+    versions: Callable[[SparkSession], dict] | None = None,
 ) -> StreamingQuery:
     """Enrich a stream of events into ``path``.
 
@@ -41,20 +43,35 @@ def start_enrichment(
 
     ``dimensions`` is called once per micro-batch and reads circuits and drivers anew:
     a batch joins their latest values, and rows written earlier are not revised. A
-    plain stream-static join would keep the file listing of its start for ever.
+    plain stream-static join would keep the file listing of its start for ever. With
+    ``versions`` it is also given what that returned when the batch was first tried
+    (snapshots and last changes, as numbers): a repeat joins the values of the first try,
+    whatever has changed since, and the batch's entry in the sink's list names them.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        circuits, drivers = dimensions(batch.sparkSession)
-        kept = batch
-        if dead_path is not None:
-            checked = validate_events(batch)
+        spark, sink = batch.sparkSession, Manifest(batch.sparkSession, path)
+        if sink.is_committed(batch_id) and dead_path is None:
+            return
+        chosen = () if versions is None else (sink.decided(batch_id, lambda: versions(spark)),)
+        circuits, drivers = dimensions(spark, *chosen)
+        info = {"dimensions": chosen[0]} if chosen else {}
+
+        def write(kept: DataFrame) -> None:
+            enriched = with_event_date(enrich(kept, circuits, drivers, as_of_ms, require))
+            write_batch(enriched, path, batch_id, by=("event_date",), bounds=("timestamp_ms",), info=info)
+
+        if dead_path is None:
+            write(batch)
+            return
+        checked = validate_events(batch).persist()
+        try:
             record = F.to_json(F.struct(*batch.columns))
             letters = to_dead_letter(quarantined(checked), F.col("reason"), topic, record=record, as_of_ms=as_of_ms)
             write_batch(letters, dead_path, batch_id)
-            kept = valid(checked)
-        enriched = with_event_date(enrich(kept, circuits, drivers, as_of_ms, require))
-        write_batch(enriched, path, batch_id, by=("event_date",))
+            write(valid(checked))
+        finally:
+            checked.unpersist()
 
     return (
         events.writeStream.queryName(name)
@@ -68,6 +85,13 @@ def start_enrichment(
 def read_enriched(
     spark: SparkSession, path: str, streaming: bool = False, extra: tuple[T.StructField, ...] = ()
 ) -> DataFrame:
-    """The enriched table, from its first batch on."""
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(T.StructType([*extra, *ENRICHED_LAYOUT.fields])).parquet(path)
+    """The enriched table, from its first batch on.
+
+    A batch read resolves the sink's list. A stream sees a batch's folder when it is moved
+    into place as a whole, after it was committed.
+    """
+    schema = T.StructType([*extra, *ENRICHED_LAYOUT.fields])
+    if streaming:
+        return spark.readStream.schema(schema).parquet(path)
+    fields = [field for field in schema.fields if field.name != "batch_id"]
+    return read_batches(spark, path, T.StructType(fields)).select(*schema.names)
