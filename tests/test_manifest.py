@@ -258,3 +258,119 @@ def test_the_enriched_table_is_that_of_committed_batches(spark, folder):
     rows.write.partitionBy("event_date").parquet(f"{folder}/batch_id=1")  # of nobody's list
     assert read_enriched(spark, folder).count() == 1
     assert read_batches(spark, folder, ENRICHED).count() == 1
+
+
+# Tails, merged tables, registered names
+
+
+def test_a_tail_opens_the_newest_files_only(spark, folder):
+    from undercut.operators.recent import with_position
+    from undercut.sources.tails import append_records, read_tail
+
+    records = with_position(spark.range(600).withColumnRenamed("id", "n"), F.col("n") % 3, F.expr("n div 3"))
+    for batch in range(6):
+        append_records(records.where(F.expr(f"n div 100 = {batch}")).coalesce(1), folder, batch)
+    append_records(with_position(spark.range(1).toDF("n"), F.lit(7), F.lit(0)), folder, 6)
+    tail = read_tail(spark, folder, records.schema, 20)
+    # 20 rows over four partitions and five more: the last ten offsets of each.
+    expect = [(p, n) for p in range(3) for n in range(190, 200)] + [(7, 0)]
+    assert sorted((r._kafka_partition, r._kafka_offset) for r in tail.collect()) == expect
+    assert {f.split(f"{folder}/")[1].split("/")[0] for f in tail.inputFiles()} == {"batch_id=5", "batch_id=6"}
+    assert len(tail.inputFiles()) == 4
+
+
+def test_only_touched_buckets_are_rewritten(spark, folder):
+    from undercut.sources.merged import merge_changes, read_merged
+
+    schema = changes_schema(DRIVERS)
+
+    def row(op, seq, key, name=None):
+        return (op, seq, "s", key, None if op == "d" else (key, name, "A", "T", 1, "N", 0, 0))
+
+    def merged(*rows):
+        return merge_changes(spark, folder, spark.createDataFrame(rows, schema), DRIVERS, "driver_id", buckets=8)
+
+    def table():
+        return {r.driver_id: r.full_name for r in read_merged(spark, folder, DRIVERS).collect()}
+
+    # The snapshot was read at position 5: the change at 4 is in it, the one at 6 is not.
+    snapshot = [row("r", 5, f"D{i}", "old") for i in range(20)]
+    log = [*snapshot, row("u", 4, "D1", "older"), row("u", 6, "D2", "new")]
+    assert merged(*log) == list(range(8))
+    expect = {f"D{i}": "old" for i in range(20)} | {"D2": "new"}
+    assert table() == expect
+    assert merged(*log) == []  # the same log again
+    before = read_merged(spark, folder, DRIVERS)
+    files = set(before.inputFiles())
+    touched = merged(*log, row("d", 7, "D3"), row("c", 8, "D99", "born"))
+    assert 1 <= len(touched) <= 2
+    kept = files & set(read_merged(spark, folder, DRIVERS).inputFiles())
+    assert {f.split("bucket=")[1].split("/")[0] for f in kept} == {str(b) for b in range(8)} - {str(b) for b in touched}
+    del expect["D3"]
+    assert table() == expect | {"D99": "born"}
+    assert before.count() == 20  # a reader from before
+    Manifest(spark, folder).clean(grace_ms=-1000)
+    assert table() == expect | {"D99": "born"}
+    assert merged(*[row("d", 9, key) for key in [*expect, "D99"]]) == list(range(8)) and table() == {}
+    assert merged(row("d", 9, "D1")) == [] and merged(row("c", 10, "D1", "again")) and table() == {"D1": "again"}
+
+
+def test_a_changed_definition_replays_and_readers_switch(spark, folder):
+    from undercut.streaming.registry import Registry
+
+    events_df(spark, *[event(timestamp_ms=1_000 * i) for i in range(5)]).write.parquet(f"{folder}/raw")
+
+    def definition(factor):
+        def start(name, generation):
+            rows = read_events(spark, f"{folder}/raw", streaming=True).select((F.col("timestamp_ms") * factor).alias("t"))
+            return (
+                rows.writeStream.queryName(name).option("checkpointLocation", generation.checkpoint).trigger(**NOW)
+                .foreachBatch(lambda df, n: write_batch(df, generation.output, n) and None).start()
+            )
+
+        return start
+
+    def read():
+        rows = read_batches(spark, Registry(spark, f"{folder}/names").output("doubled"), spark.createDataFrame([], "t long").schema)
+        return sorted(r.t for r in rows.collect())
+
+    registry = Registry(spark, f"{folder}/names")
+    with pytest.raises(KeyError):
+        registry.output("doubled")
+    registry.deploy("doubled", definition(1)).awaitTermination()
+    assert read() == [1_000 * i for i in range(5)]
+    events_df(spark, event(timestamp_ms=5_000)).write.mode("append").parquet(f"{folder}/raw")
+    # Another driver goes on from the checkpoint.
+    Registry(spark, f"{folder}/names").deploy("doubled", definition(1)).awaitTermination()
+    assert read() == [1_000 * i for i in range(6)]
+    registry.redeploy("doubled", definition(2)).awaitTermination()
+    assert read() == [1_000 * i for i in range(6)]  # until it has caught up
+    assert registry.mark_ready("doubled").number == 1
+    assert read() == [2_000 * i for i in range(6)]
+    events_df(spark, event(timestamp_ms=6_000)).write.mode("append").parquet(f"{folder}/raw")
+    registry.deploy("doubled", definition(2)).awaitTermination()
+    assert read() == [2_000 * i for i in range(7)]
+
+
+def test_scores_of_nodes_are_those_of_the_model(spark, folder):
+    from undercut.operators import features, forest, model
+
+    path = f"{folder}/model"
+    model.save(model.train(features.training_table(spark, 800)), path)
+    rows = events_df(spark, *[event(lap=1 + i % 70, tire_wear_fl=i % 101.0, fuel_load_kg=i * 7 % 111.0) for i in range(200)], event(lap=None))
+    trees = {}
+    for tree, node, *rest in forest.forest_nodes(spark, path).collect():
+        trees.setdefault(tree, {})[node] = rest
+
+    def walked(readings):
+        sums = [0.0, 0.0]
+        for _, tree in sorted(trees.items()):
+            node = tree[0]
+            while node[0] >= 0:
+                node = tree[node[2] if readings[node[0]] <= node[1] else node[3]]
+            sums = [a + b / (node[4] + node[5]) for a, b in zip(sums, node[4:])]
+        return sums[1] / sum(sums)
+
+    scored = model.score(rows, model.load(path))
+    found = features.pit_features(scored).select("pit_probability", *features.FEATURES).collect()
+    assert len(found) == 200 and all(row[0] == walked(row[1:]) for row in found)

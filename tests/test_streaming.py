@@ -1,6 +1,5 @@
 import json
 import os
-import time
 
 import pytest
 from conftest import circuits_df, drivers_df, event, events_df, nullable
@@ -9,7 +8,8 @@ from pyspark.sql import functions as F
 from undercut.operators import features, model
 from undercut.operators.enrich import enrich
 from undercut.operators.hopping import hop_metrics
-from undercut.schemas import AGGREGATES, DEAD_LETTER, DRIVERS, ENRICHED, PREDICTION, TELEMETRY, changes_schema
+from undercut.operators.metrics import counter_rate, metric_latest
+from undercut.schemas import AGGREGATES, DEAD_LETTER, DRIVERS, ENRICHED, TELEMETRY, changes_schema
 from undercut.sources.changes import read_dimension
 from undercut.sources.events import read_events
 from undercut.sources.sinks import as_json_rows, read_batches, with_event_date, write_batch
@@ -17,7 +17,7 @@ from undercut.streaming import deployment
 from undercut.streaming.aggregation import read_aggregates, start_aggregation
 from undercut.streaming.enrichment import read_enriched, start_enrichment
 from undercut.streaming.quarantine import start_quarantine
-from undercut.streaming.scoring import ScoringCounters, start_scoring
+from undercut.streaming.scoring import read_counters, read_predictions, start_scoring
 from undercut.shared import shared_folder
 
 NOW = {"availableNow": True}
@@ -178,25 +178,30 @@ def test_quarantine_stream(spark, folder):
     assert all('"car_id":"CAR_01"' in r.value for r in letters)
 
 
+def rates_start(spark, folder):
+    """The first total of a series; of two samples at one time, the first counts as the start."""
+    return read_counters(spark, f"{folder}/out").where("series = 'consumed'").orderBy("batch_id").first().value
+
+
 def test_scoring_counts_and_skips_bad_rows(spark, folder):
     forest = model.train(features.training_table(spark, 500))
     put(spark, f"{folder}/raw", event(), event(lap=None), event(car_id="CAR_02"))
     put(spark, f"{folder}/raw", event(speed_kph=None), event(car_id="CAR_03"))
-    counters = ScoringCounters()
-    spark.streams.addListener(counters)
-    try:
+
+    def run(clock):
         events = read_events(spark, f"{folder}/raw", streaming=True, files_per_batch=1)
-        query = start_scoring(events, forest, f"{folder}/out", f"{folder}/cp", trigger=NOW)
-        query.awaitTermination()
-        for _ in range(100):
-            if counters.totals["pit_scoring"]["consumed"] == 5:
-                break
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(counters)
-    assert dict(counters.totals["pit_scoring"]) == {"consumed": 5, "emitted": 3, "errors": 2}
-    out = spark.read.schema(PREDICTION).parquet(f"{folder}/out")
-    assert sorted(r.car_id for r in out.collect()) == ["CAR_01", "CAR_02", "CAR_03"]
+        start_scoring(events, forest, f"{folder}/out", f"{folder}/cp", trigger=NOW, clock=lambda: clock).awaitTermination()
+
+    run(10)
+    put(spark, f"{folder}/raw", event(car_id="CAR_04"))
+    run(40)  # another driver goes on counting
+    latest = {r.series: r.value for r in metric_latest(read_counters(spark, f"{folder}/out")).collect()}
+    assert latest == {"consumed": 6, "emitted": 4, "errors": 2}
+    counts = read_counters(spark, f"{folder}/out").groupBy("batch_id").pivot("series").sum("count").collect()
+    assert len(counts) == 3 and all(r.consumed == r.emitted + r.errors for r in counts)
+    rates = counter_rate(read_counters(spark, f"{folder}/out"), 60).where("series = 'consumed'").orderBy("ts").collect()
+    assert rates[-1].rate == pytest.approx((6 - rates_start(spark, folder)) / 30)
+    assert sorted(r.car_id for r in read_predictions(spark, f"{folder}/out").collect()) == [f"CAR_0{i}" for i in (1, 2, 3, 4)]
 
 
 def test_deployment(spark, folder):

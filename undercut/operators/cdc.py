@@ -70,6 +70,16 @@ def compact_changes(changes: DataFrame) -> DataFrame:
     return newest.select(*[c if c in ("key", "seq") else F.col("row")[c].alias(c) for c in changes.columns])
 
 
+def after_snapshot(changes: DataFrame) -> DataFrame:
+    """Snapshot rows and the changes behind their position in the log.
+
+    A snapshot row's ``seq`` is the position the table was read at; a change up to there is
+    in the snapshot already. Without snapshot rows all changes count.
+    """
+    position = changes.where(F.col("op") == "r").agg(F.max("seq")).scalar()
+    return changes.where(F.col("op").eqNullSafe("r") | (F.col("seq") > F.coalesce(position, F.lit(-(2**63)))))
+
+
 def route_topic(source_table: Column, routes: Mapping[str, str] = ROUTES) -> Column:
     """Name of the output of a record: the first pattern matching the whole name."""
     target = source_table

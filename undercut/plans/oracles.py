@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from undercut.operators.quality import QUANTISED
 from undercut.plans import inputs
 from undercut.schemas import MAX_TIME_MS, TELEMETRY
 
@@ -145,6 +146,41 @@ PERCENT = """CASE WHEN x - floor(x) IN (0.25, 0.75) THEN printf('%.1f', floor(x
     ELSE printf('%.1f', x) END || '%'"""
 
 
+# Scores: the nodes of the trained forest, as rows, walked by a recursive query
+
+
+def forest_oracles(rows: list[tuple]) -> dict[str, str]:
+    """SQL for the scores of a forest of nodes (tree, node, feature, split, left, right, no, yes)."""
+    names = ("tree", "node", "feature", "split", "left_", "right_", "no", "yes")
+    columns = [", ".join(repr(row[i]) if row[i] is not None else "NULL" for row in rows) for i in range(len(names))]
+    nodes = "SELECT " + ", ".join(f"unnest([{values}]) AS {name}" for name, values in zip(names, columns))
+    readings = ", ".join(FEATURES.values())
+
+    def scored(source: str, condition: str) -> str:
+        return f"""WITH RECURSIVE rows_in AS ({inputs.oracle_text(source)}),
+        nodes AS ({nodes}),
+        walk AS (
+          SELECT event_id, [{readings}] AS x, tree, 0 AS node FROM rows_in, (SELECT DISTINCT tree FROM nodes) AS t WHERE {condition}
+          UNION ALL
+          SELECT event_id, x, w.tree, CASE WHEN x[feature + 1] <= split THEN left_ ELSE right_ END
+          FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE feature >= 0
+        ),
+        votes AS (
+          SELECT event_id, list(no / (no + yes) ORDER BY w.tree) AS against, list(yes / (no + yes) ORDER BY w.tree) AS in_favour
+          FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE feature < 0 GROUP BY event_id
+        ),
+        sums AS (
+          SELECT event_id, list_reduce(against, lambda a, b: a + b) AS n, list_reduce(in_favour, lambda a, b: a + b) AS y FROM votes
+        )
+        SELECT r.event_id, car_id, timestamp_ms, y / (n + y) AS pit_probability, y / (n + y) >= 0.65 AS recommend_pit,
+          'rf-1.0.0' AS model_version FROM sums s JOIN rows_in r ON r.event_id = s.event_id"""
+
+    batch = scored(inputs.TELEMETRY_SQL, "true")
+    stream = scored(inputs.GAPPY_SQL, f"decoded AND {SCORABLE}")
+    rest = "SELECT car_id, timestamp_ms, pit_probability, recommend_pit, model_version"
+    return {"pit_scores": batch, "stream_predictions": f"{rest} FROM ({stream}) AS s"}
+
+
 # Positions
 
 
@@ -396,10 +432,54 @@ ORACLES: dict[str, str] = {
         **METRIC_VIEWS,
     ),
     "stream_enrich": with_inputs("SELECT * FROM enriched_rows", **ENRICHED_VIEWS),
+    "stream_enrich_routed": with_inputs("SELECT * FROM enriched_rows", **ENRICHED_VIEWS),
+    "stream_hop_metrics_folded": HOP_SQL,
+    "stream_counters": with_inputs(
+        f"""SELECT series, CAST(sum(n) AS BIGINT) AS total FROM (
+          SELECT unnest(['consumed', 'emitted', 'errors']) AS series, unnest([
+            CAST(decoded AS BIGINT), CAST(decoded AND {SCORABLE} AS BIGINT), CAST(NOT decoded OR NOT ({SCORABLE}) AS BIGINT)
+          ]) AS n FROM gappy) AS t GROUP BY series""",
+        gappy=inputs.GAPPY_SQL,
+    ),
+    "tail_of_log": with_inputs(tails("p", 8), p=f"SELECT event_id, {positions(7)} FROM events"),
+    "cdc_merged_table": with_inputs(
+        """SELECT CAST(key AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice FROM (
+          SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM (
+            SELECT key, seq, op, o_orderstatus, o_totalprice FROM changes
+            WHERE seq > (SELECT max(seq) // 3 FROM changes)
+            UNION ALL SELECT CAST(c_custkey AS VARCHAR), 0, 'r', 'S', c_acctbal FROM customer) AS u) AS c
+        WHERE rn = 1 AND op IS NOT NULL AND op <> 'd'""",
+        **CHANGES_VIEWS,
+    ),
+    "retention_by_hour": """SELECT topic, event_id, timestamp_ms FROM (
+          SELECT event_id, epoch_us(ts) // 1000 AS timestamp_ms, max(epoch_us(ts) // 1000) OVER () AS newest FROM events) AS e,
+          (VALUES ('raw-telemetry', 7200000), ('enriched-telemetry', 21600000)) AS r(topic, kept)
+        WHERE timestamp_ms >= newest - kept""",
+    "events_from_json": on_telemetry(f"SELECT {COLUMNS} FROM telemetry"),
+    "sensors_quantised": on_telemetry(
+        "SELECT event_id, " + ", ".join(f"floor(({c} * 1.37 - 20.0) * 100 + 0.5) / 100 AS {c}" for c in QUANTISED) + " FROM telemetry"
+    ),
+    "placed_by_car": on_telemetry(
+        f"SELECT {key_partition('car_id', 20)} AS _kafka_partition, car_id, CAST(count(*) AS BIGINT) AS n FROM telemetry GROUP BY 1, 2"
+    ),
+    "reference_from_files": with_inputs(
+        """SELECT d.team_id, driver_id, full_name, championships, team_name FROM drivers d LEFT JOIN teams t ON t.team_id = d.team_id""",
+        teams=inputs.TEAMS_SQL,
+        drivers=inputs.DRIVERS_SQL,
+    ),
+    "scrapes_from_files": with_inputs(
+        """SELECT name, arg_max(value, event_id * 1000 + pos) AS value FROM readings
+        WHERE name LIKE 'ml\\_consumer%' ESCAPE '\\' AND isfinite(value) GROUP BY name""",
+        **METRIC_VIEWS,
+    ),
     "stream_enrich_dirty": with_inputs(
-        """SELECT CASE WHEN reason = '' THEN 'enriched' ELSE 'dead' END AS outcome, car_id, CAST(count(*) AS BIGINT) AS n
-        FROM checked GROUP BY 1, 2""",
+        f"""SELECT outcome, {", ".join(f"c.{name}" for name in TELEMETRY.names)}, circuit_name, driver_full_name, enriched,
+          CASE WHEN outcome = 'dead' THEN c.reason END AS reason
+        FROM (SELECT *, CASE WHEN reason = '' THEN 'enriched' ELSE 'dead' END AS outcome FROM checked) AS c
+        LEFT JOIN (SELECT event_id AS id, circuit_name, driver_full_name, enriched FROM enriched_rows) AS e
+          ON c.event_id = e.id AND outcome = 'enriched'""",
         **CHECKED_VIEWS,
+        **ENRICHED_VIEWS,
     ),
     "stream_hop_metrics": HOP_SQL,
     "stream_dead_letters": DEAD_LETTER_SQL,

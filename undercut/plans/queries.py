@@ -10,16 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from undercut.functions import ids, numeric
-from undercut.operators import cdc, enrich, features, hopping, metrics, model, quality, recent, reference
+from undercut.operators import cdc, enrich, features, forest, hopping, metrics, model, quality, recent, reference
+from undercut.operators.placement import write_placed
 from undercut.plans import inputs
 from undercut.plans.inputs import project, project_stream, table
 from undercut.schemas import AGGREGATES, DEAD_LETTER, PREDICTION, RETENTION_MS, TELEMETRY, TOPIC_PARTITIONS
-from undercut.sources.changes import read_routed_dimension, take_snapshot, write_routed
-from undercut.sources.sinks import as_json_rows, read_batches
-from undercut.streaming.aggregation import read_aggregates, start_aggregation
+from undercut.sources.changes import dimension_version, read_changes, read_routed_dimension, take_snapshot, write_routed
+from undercut.sources.events import read_events
+from undercut.sources.merged import merge_changes, read_merged
+from undercut.sources.scrapes import read_scrapes
+from undercut.sources.sinks import as_json_rows, expire, read_batches, with_event_date, write_batch
+from undercut.sources.tables import load_reference
+from undercut.sources.tails import append_records, read_tail
+from undercut.streaming.aggregation import fold_aggregates, read_aggregates, start_aggregation
 from undercut.streaming.enrichment import read_enriched, start_enrichment
 from undercut.streaming.quarantine import start_quarantine
-from undercut.streaming.scoring import start_scoring
+from undercut.streaming.scoring import read_counters, read_predictions, start_scoring
 from undercut.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +98,51 @@ def positioned(df: DataFrame, partitions: int) -> DataFrame:
 # Scans, event time, identifiers
 
 
+@query
+def events_from_json(spark, sf_dir):
+    """Events written as JSON and read back with their declared types."""
+    folder = shared_folder(spark, "json-events")
+    telemetry(spark, sf_dir).select(*TELEMETRY.names).write.json(folder)
+    return read_events(spark, folder, fmt="json")
+
+
+@query
+def sensors_quantised(spark, sf_dir):
+    """All sixteen readings, after a scale that leaves more decimals."""
+    scaled = {c: F.col(c) * 1.37 - 20.0 for c in quality.QUANTISED}
+    return quality.quantise_sensors(telemetry(spark, sf_dir).withColumns(scaled)).select("event_id", *quality.QUANTISED)
+
+
+@query
+def placed_by_car(spark, sf_dir):
+    """Events written by the partition of their car and counted per folder."""
+    folder = shared_folder(spark, "placed")
+    write_placed(telemetry(spark, sf_dir), folder, "car_id", TOPIC_PARTITIONS[RAW_TOPIC])
+    placed = spark.read.schema("event_id long, car_id string, _kafka_partition int").parquet(folder)
+    return placed.groupBy("_kafka_partition", "car_id").agg(F.count("*").alias("n"))
+
+
+@query
+def reference_from_files(spark, sf_dir):
+    """Drivers with their teams, from the four tables written as files and loaded with declared types."""
+    folder, names = shared_folder(spark, "reference"), ("circuits", "teams", "drivers", "regulations")
+    for name in names:
+        reference_rows(spark, sf_dir, name).write.parquet(f"{folder}/{name}")
+    loaded = load_reference(spark, folder)
+    drivers = loaded["drivers"].select("driver_id", "full_name", "team_id", "championships")
+    return drivers.join(loaded["teams"].select("team_id", "team_name"), "team_id", "left")
+
+
+@query
+def scrapes_from_files(spark, sf_dir):
+    """Metric texts as files of lines: of each name the last value of a file."""
+    folder = shared_folder(spark, "scrapes")
+    texts = project(spark, sf_dir, inputs.METRIC_TEXT_SQL)
+    lines = texts.orderBy("event_id").coalesce(1).select(F.col("text").alias("value"))
+    lines.write.text(folder)
+    return metrics.parse_metric_lines(read_scrapes(spark, folder), "ml_consumer").select("name", "value")
+
+
 @query
 def scan_telemetry(spark, sf_dir):
     return telemetry(spark, sf_dir).select(*TELEMETRY.names)
@@ -249,19 +300,28 @@ def pit_label_rule(spark, sf_dir):
     return rows.select("event_id", features.label_rule(F.col("wear"), F.col("fuel")).alias("label"))
 
 
-MODELS: dict[str, PipelineModel] = {}
+MODELS: dict[str, tuple[str, PipelineModel]] = {}
 
 
-def trained_model(spark: SparkSession) -> PipelineModel:
+def _model(spark: SparkSession) -> tuple[str, PipelineModel]:
     """The application's model: trained once, kept in the shared folder, loaded once."""
     app = spark.sparkContext.applicationId
     if app not in MODELS:
         path = shared_folder(spark, "pit-model")
         model.save(model.train(features.training_table(spark)), path)
-        MODELS[app] = model.load(path)
+        MODELS[app] = path, model.load(path)
     return MODELS[app]
 
 
+def trained_model(spark: SparkSession) -> PipelineModel:
+    return _model(spark)[1]
+
+
+def trained_nodes(spark: SparkSession) -> DataFrame:
+    """The same model as rows."""
+    return forest.forest_nodes(spark, _model(spark)[0])
+
+
 @query
 def pit_scores(spark, sf_dir):
     scored = model.score(telemetry(spark, sf_dir), trained_model(spark))
@@ -288,6 +348,17 @@ def tail_per_partition(spark, sf_dir):
     return recent.tail_per_partition(events, 20)
 
 
+@query
+def tail_of_log(spark, sf_dir):
+    """The same tails from a log of four batches, whose list says which files they reach into."""
+    events = positioned(table(spark, sf_dir, "events").select("event_id"), TOPIC_PARTITIONS["pit-predictions"] + 2)
+    folder, last = shared_folder(spark, "log"), events.agg(F.max("event_id")).first()[0] or 0
+    for n in range(4):
+        slot = F.least(F.expr(f"event_id * 4 div {last + 1}"), F.lit(3)) == n
+        append_records(events.where(slot), folder, n)
+    return read_tail(spark, folder, events.schema, 20).select(*events.columns)
+
+
 @query
 def recent_predictions(spark, sf_dir):
     partitions = TOPIC_PARTITIONS["pit-predictions"]
@@ -429,6 +500,24 @@ def cdc_routed_dimension(spark, sf_dir):
     return read_routed_dimension(spark, f"{folder}/log", f"{folder}/snapshots", image, "driver-profiles", "o_custkey")
 
 
+@query
+def cdc_merged_table(spark, sf_dir):
+    """A snapshot of customers handed over to the changes behind its position, merged in three steps."""
+    folder = shared_folder(spark, "merged")
+    image = T.StructType.fromDDL("o_custkey long, o_orderstatus string, o_totalprice double")
+    rows = project(spark, sf_dir, "SELECT c_custkey AS o_custkey, 'S' AS o_orderstatus, c_acctbal AS o_totalprice FROM {customer}")
+    log = changes(spark, sf_dir)
+    ends = log.agg(F.expr("max(seq) div 3").alias("first"), F.expr("max(seq) * 2 div 3").alias("second")).first()
+    first, second = ends["first"] or 0, ends["second"] or 0
+    # The table was read when a third of the log was written: those changes are in no need of repeating.
+    cdc.snapshot_changes(rows, "o_custkey", "racing.public.customer", seq=first).write.parquet(f"{folder}/log")
+    seq = F.col("seq")
+    for some in (seq <= first, (seq > first) & (seq <= second), seq > second):
+        log.where(some).write.mode("append").parquet(f"{folder}/log")
+        merge_changes(spark, f"{folder}/table", read_changes(spark, f"{folder}/log", image), image, "o_custkey")
+    return read_merged(spark, f"{folder}/table", image)
+
+
 @query
 def cdc_compact(spark, sf_dir):
     return cdc.compact_changes(changes(spark, sf_dir)).select("key", "seq", "op", "after.o_totalprice")
@@ -441,6 +530,22 @@ def within_retention(spark, sf_dir):
     return cdc.within_retention(events, RETENTION_MS["pit-predictions"], newest, "ts")
 
 
+@query
+def retention_by_hour(spark, sf_dir):
+    """Two sinks of the same records, expired at two hours and at six, with what is left of each."""
+    events = table(spark, sf_dir, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"))
+    newest, left = events.agg(F.max("timestamp_ms")).first()[0] or 0, []
+    for topic in ("raw-telemetry", "enriched-telemetry"):
+        folder = shared_folder(spark, topic)
+        for n in range(2):
+            some = events.where(F.col("event_id") % 2 == n).repartitionByRange(24, "timestamp_ms")
+            write_batch(some, folder, n, bounds=("timestamp_ms",))
+        expire(spark, folder, newest - RETENTION_MS[topic])
+        rows = cdc.within_retention(read_batches(spark, folder, events.schema), RETENTION_MS[topic], newest)
+        left.append(rows.select(F.lit(topic).alias("topic"), "event_id", "timestamp_ms"))
+    return left[0].unionByName(left[1])
+
+
 # Metric series
 
 
@@ -506,8 +611,11 @@ def stream_enrich_dirty(spark, sf_dir):
         dead_path=f"{folder}/dead",
     ).awaitTermination()
     good, bad = read_enriched(spark, f"{folder}/data"), read_batches(spark, f"{folder}/dead", DEAD_LETTER)
-    outcomes = good.select(F.lit("enriched").alias("outcome"), "car_id").union(bad.select(F.lit("dead"), "key"))
-    return outcomes.groupBy("outcome", "car_id").agg(F.count("*").alias("n"))
+    good = good.select(F.lit("enriched").alias("outcome"), *TELEMETRY.names, "circuit_name", "driver_full_name", "enriched")
+    letter = F.from_json("value", TELEMETRY)
+    bad = bad.select(letter.alias("row"), F.col("headers")["X-Error-Message"].alias("reason"))
+    bad = bad.select(F.lit("dead").alias("outcome"), "row.*", "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query
@@ -552,4 +660,78 @@ def stream_predictions(spark, sf_dir):
         name=folder,
         trigger=NOW,
     ).awaitTermination()
-    return spark.read.schema(PREDICTION).parquet(f"{folder}/data")
+    return read_predictions(spark, f"{folder}/data")
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """What a scoring stream counted, over the halves of the events and a restart between them."""
+    folder, events = shared_folder(spark, "counters"), project(spark, sf_dir, inputs.GAPPY_SQL)
+    middle = events.agg(F.expr("max(event_id) div 2").alias("half")).first()["half"] or 0
+    for half in (events.where(F.col("event_id") <= middle), events.where(F.col("event_id") > middle)):
+        half.write.mode("append").parquet(f"{folder}/events")
+        start_scoring(
+            read_events(spark, f"{folder}/events", events.schema, streaming=True),
+            trained_model(spark),
+            f"{folder}/data",
+            f"{folder}/checkpoint",
+            name=folder,
+            trigger=NOW,
+        ).awaitTermination()
+    return metrics.metric_latest(read_counters(spark, f"{folder}/data")).select("series", F.col("value").cast("long").alias("total"))
+
+
+@query
+def stream_enrich_routed(spark, sf_dir):
+    """Enrichment by dimensions that are a snapshot and the changes after it, as of versions decided per batch."""
+    folder, tables = shared_folder(spark, "enriched-routed"), {}
+    for name, key, topic in (("circuits", "circuit_id", "circuit-metadata"), ("drivers", "driver_id", "driver-profiles")):
+        rows = reference_rows(spark, sf_dir, name)
+        shown = "circuit_name" if name == "circuits" else "full_name"
+        moved = F.crc32(F.col(key).cast("binary")) % 2 == 0  # half of the rows change after the snapshot
+        log, source = f"{folder}/{name}", f"racing.public.{name}"
+        stale = rows.withColumn(shown, F.when(moved, F.lit("before")).otherwise(F.col(shown)))
+        write_routed(cdc.snapshot_changes(stale, key, source, seq=1), log, 0)
+        take_snapshot(spark, log, f"{log}-snapshots", rows.schema, topic)
+        write_routed(cdc.snapshot_changes(rows.where(moved), key, source, seq=2).withColumn("op", F.lit("u")), log, 1)
+        tables[name] = (log, f"{log}-snapshots", rows.schema, topic, key)
+
+    def versions(session: SparkSession) -> dict:
+        return {name: dimension_version(session, log, snapshots) for name, (log, snapshots, *_) in tables.items()}
+
+    def read(session: SparkSession, chosen: dict) -> tuple[DataFrame, ...]:
+        return tuple(read_routed_dimension(session, *table, version=chosen[name]) for name, table in tables.items())
+
+    start_enrichment(
+        project_stream(spark, sf_dir, inputs.TELEMETRY_SQL),
+        read,
+        f"{folder}/data",
+        f"{folder}/checkpoint",
+        name=folder,
+        as_of_ms=inputs.AS_OF_MS,
+        trigger=NOW,
+        versions=versions,
+    ).awaitTermination()
+    return read_enriched(spark, f"{folder}/data", extra=(EVENT_ID,)).drop("batch_id", "event_date")
+
+
+@query
+def stream_hop_metrics_folded(spark, sf_dir):
+    """Window metrics of a stream that runs three times; closed windows are folded after each."""
+    folder, rows = shared_folder(spark, "folded"), enriched(spark, sf_dir)
+    ends = rows.agg(F.min("timestamp_ms").alias("low"), F.max("timestamp_ms").alias("high")).first()
+    low, third = ends["low"] or 0, ((ends["high"] or 0) - (ends["low"] or 0)) // 3 + 1
+    for n in range(3):
+        slot = F.floor((F.col("timestamp_ms") - low) / third) == n
+        write_batch(with_event_date(rows.where(slot)), f"{folder}/enriched", n, by=("event_date",))
+        start_aggregation(
+            read_enriched(spark, f"{folder}/enriched", streaming=True),
+            f"{folder}/data",
+            f"{folder}/checkpoint",
+            name=folder,
+            lateness="1 minute",
+            trigger=NOW,
+            state_partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
+        fold_aggregates(spark, f"{folder}/data", 60_000)
+    return read_aggregates(spark, f"{folder}/data")

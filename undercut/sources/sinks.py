@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
 
 from undercut.functions.text import epoch_day
 from undercut.operators.quality import sanitize_numeric
@@ -26,13 +25,14 @@ def write_batch(
     fmt: str = "parquet",
     by: tuple[str, ...] = (),
     bounds: tuple[str, ...] = (),
-    info: dict | None = None,
+    info: dict | Callable[[], dict] | None = None,
 ) -> bool:
     """Write one micro-batch, exactly once; whether this call committed it.
 
     See ``undercut.sources.manifest``: an attempt counts if its entry in the sink's list is
     the first of its batch, and a repeat of a committed batch writes nothing. Least and
-    greatest values of the numeric columns in ``bounds`` are noted by file.
+    greatest values of the numeric columns in ``bounds`` are noted by file. ``info`` goes into
+    the entry; a function is called when the files have been written.
     """
     return Manifest(df.sparkSession, path).write(df, batch_id, fmt, by, bounds, info)
 
@@ -65,11 +65,13 @@ def read_batches(
     return read_parts(spark, path, manifest.parts() if after is None else manifest.after(after), schema, fmt)
 
 
-def write_part(df: DataFrame, path: str, batch: int, fmt: str, info: dict, bounds: tuple[str, ...] = ()) -> Part:
+def write_part(
+    df: DataFrame, path: str, batch: int, fmt: str, info: dict, bounds: tuple[str, ...] = (), by: tuple[str, ...] = ()
+) -> Part:
     """Rows that upkeep makes of batches up to a number; live once a generation names them."""
     folder = f"_folded/{batch}-{uuid.uuid4().hex}"
     manifest = Manifest(df.sparkSession, path)
-    df.write.format(fmt).save(f"{path}/{folder}")
+    df.write.partitionBy(*by).format(fmt).save(f"{path}/{folder}")
     return Part(folder, batch, tuple(manifest.listed(f"{path}/{folder}", fmt, df, bounds)), info)
 
 
@@ -115,14 +117,3 @@ def as_json_rows(df: DataFrame, key: str = "car_id") -> DataFrame:
 def write_aggregates(df: DataFrame, path: str, batch_id: int) -> None:
     """One micro-batch of window metrics as JSON rows."""
     write_batch(sanitize_numeric(df), path, batch_id, "json", bounds=WINDOW_BOUNDS)
-
-
-def append_stream(df: DataFrame, path: str, checkpoint: str, name: str) -> DataStreamWriter:
-    """Append-only parquet sink whose file log makes it exactly-once."""
-    return (
-        df.writeStream.queryName(name)
-        .outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
