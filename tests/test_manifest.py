@@ -371,6 +371,7 @@ def test_scores_of_nodes_are_those_of_the_model(spark, folder):
             sums = [a + b / (node[4] + node[5]) for a, b in zip(sums, node[4:])]
         return sums[1] / sum(sums)
 
-    scored = model.score(rows, model.load(path))
-    found = features.pit_features(scored).select("pit_probability", *features.FEATURES).collect()
-    assert len(found) == 200 and all(row[0] == walked(row[1:]) for row in found)
+    scores = [row.pit_probability for row in model.score(rows, model.load(path)).collect()]
+    readings = features.pit_features(rows).select(*features.FEATURES).collect()
+    assert len(scores) == 200
+    assert scores == pytest.approx([walked(row) for row in readings], rel=1e-12)
