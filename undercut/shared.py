@@ -69,3 +69,27 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     if (noted := _NOTED.get()) is not None:
         noted.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Slots:
+    """Tables of a job that goes on in rounds, by name: one takes the place of the last, which is then deleted.
+
+    Whatever still reads the last one must have been written by then.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        before = self.paths.get(name)
+        with noted_tables() as made:
+            found = materialise(df, name)
+        (self.paths[name],) = made
+        if (noted := _NOTED.get()) is not None:
+            noted.extend(made)
+        if before is not None:
+            delete_tables(self.spark, [before])
+        return found
+
+    def drop(self, *names: str) -> None:
+        delete_tables(self.spark, [self.paths.pop(name) for name in names if name in self.paths])
