@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from undercut.shared import materialise
+from undercut.shared import Slots
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,18 +23,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("child", F.col("m").alias("parent"))).distinct()
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, slots: Slots | None = None) -> DataFrame:
     """Each linked node with the least node of its component, as (node, label).
 
-    ``links`` are pairs (u, v). Every round hangs nodes nearer to the least one and is
-    written to the shared folder; a number of rounds logarithmic in the size of a
-    component is usual. Nodes without links are not returned.
+    ``links`` are pairs (u, v); labels of an earlier call do as well as the links they came
+    from. Every round hangs nodes nearer to the least one and is written to the shared folder in
+    place of the round before; a number of rounds logarithmic in the size of a component is
+    usual. Nodes without links are not returned.
     """
+    slots = Slots(links.sparkSession) if slots is None else slots
     edges = links.where("u <> v").select(F.greatest("u", "v").alias("child"), F.least("u", "v").alias("parent")).distinct()
-    edges, before = materialise(edges, "edges"), None
+    edges, before = slots.put("edges", edges), None
     while (state := _fingerprint(edges)) != before:
         before = state
-        edges = materialise(_small_star(_large_star(edges)), "edges")
+        edges = slots.put("edges", _small_star(_large_star(edges)))
     roots = edges.select(F.col("parent").alias("node")).distinct()
     return edges.select(F.col("child").alias("node"), F.col("parent").alias("label")).union(roots.select("node", F.col("node").alias("label")))
 

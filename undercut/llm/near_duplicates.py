@@ -8,13 +8,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from undercut.llm.columns import own_names
 from undercut.llm.components import connected
 from undercut.llm.textbytes import SPACED, Words, grams, mix, slices
-from undercut.shared import materialise
+from undercut.shared import Slots, materialise
 
 #: Bands of MinHash samples. Two sets of similarity s agree in no band with probability
 #: (1 - s^4)^32: at 0.8, 5 in a hundred million.
@@ -94,9 +94,17 @@ def differing_bits(similarity: float, words: int = SKETCH_WORDS, samples: int =
     return round(bits / 2 * (1 - (1 - 2 / bits) ** (2 * samples * (1 - similarity))))
 
 
+def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    """128 bits of each set, as two numbers."""
+    halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(one.tobytes()) for one in sets), "<i8").reshape(-1, 2)
+    return [pa.array(np.ascontiguousarray(halves[:, j])) for j in (0, 1)]
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """In the place of texts, their sets' sizes, digests, sketches and bands."""
     for batch in batches:
         for rows in slices(batch):
+            kept = [name for name in rows.schema.names if name != "text"]
             sizes, digests, sketches, keys = [], [], [], []
             for shingles in sets_of(rows.column("text"), width):
                 sizes.append(len(shingles))
@@ -108,12 +116,10 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             sketch = np.array(sketches).view(np.int64)
             lists = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(keys).view(np.int64)), BANDS)
             columns = [
-                rows.column("row"), pa.array(sizes, pa.int64()), *(pa.array(np.ascontiguousarray(halves[:, j])) for j in (0, 1)),
+                *(rows.column(name) for name in kept), pa.array(sizes, pa.int64()), *(pa.array(np.ascontiguousarray(halves[:, j])) for j in (0, 1)),
                 *(pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(SKETCH_WORDS)), lists.cast(pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(
-                columns, ["row", "n", "d1", "d2", *(f"s{j}" for j in range(SKETCH_WORDS)), "bands"]
-            )
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "n", "d1", "d2", *(f"s{j}" for j in range(SKETCH_WORDS)), "bands"])
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -122,9 +128,15 @@ def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             sets = list(sets_of(rows.column("text"), width))
             ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             values = pa.array(np.concatenate(sets).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("node"), pa.ListArray.from_arrays(pa.array(ends), values)], ["node", "shingles"]
-            )
+            yield pa.RecordBatch.from_arrays([*_digests(sets), pa.ListArray.from_arrays(pa.array(ends), values)], ["d1", "d2", "shingles"])
+
+
+def _with_digests(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows in slices(batch):
+            sets = list(sets_of(rows.column("text"), width))
+            more = [pa.array([len(s) for s in sets], pa.int64()), *_digests(sets)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *more], [*rows.schema.names, "n", "d1", "d2"])
 
 
 def _fine_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,8 +160,9 @@ def _alike(percent: int) -> Column:
 class _Links:
     """Exact links among classes of equal sets, from candidate pairs of classes."""
 
-    def __init__(self, numbered: DataFrame, classes: DataFrame, width: int, percent: int):
-        self.numbered, self.width, self.percent = numbered, width, percent
+    def __init__(self, docs: DataFrame, classes: DataFrame, repeats: bool, width: int, percent: int, slots: Slots):
+        self.docs, self.classes, self.repeats = docs, classes, repeats
+        self.width, self.percent, self.slots = width, percent, slots
         self.bands = classes.select("node", "bands")
         self.sketches = classes.select("node", "n", *(f"s{j}" for j in range(SKETCH_WORDS)))
 
@@ -158,14 +171,21 @@ class _Links:
         pairs = pairs.distinct()
         pairs = pairs.join(self.sketches.alias("a"), F.col("a.node") == F.col("u"))
         pairs = pairs.join(self.sketches.alias("b"), F.col("b.node") == F.col("v"))
-        return materialise(pairs.where(_alike(self.percent)).select("u", "v"), "candidates")
+        return self.slots.put("candidates", pairs.where(_alike(self.percent)).select("u", "v"))
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """The full shingle sets of classes. Few of them, and the texts need not be shuffled."""
-        wanted = materialise(nodes.distinct(), "involved")
-        texts = self.numbered.select(F.col("row").alias("node"), "text").join(wanted, "node")
-        shingles = texts.mapInArrow(functools.partial(_shingles, width=self.width), "node long, shingles array<bigint>")
-        return materialise(shingles, "sets")
+        """The full shingle sets of classes, each from a document that has it.
+
+        Few of them, and the texts need not be shuffled. Documents are found by id; where ids
+        repeat, the digest tells which of them are meant.
+        """
+        wanted = self.classes.join(nodes.distinct(), "node", "left_semi").select("node", "d1", "d2", "least")
+        wanted = self.slots.put("involved", wanted)
+        asked = wanted.select("least").distinct()
+        texts = self.docs.join(asked, F.col("doc_id").eqNullSafe(F.col("least")), "left_semi").select("text")
+        shingles = texts.mapInArrow(functools.partial(_shingles, width=self.width), "d1 long, d2 long, shingles array<bigint>")
+        found = shingles.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).select("node", "shingles")
+        return self.slots.put("sets", found.dropDuplicates(["node"]) if self.repeats else found)
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
@@ -173,40 +193,55 @@ class _Links:
         both = both.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("y")), "v")
         shared = F.size(F.array_intersect("x", "y"))
         union = F.size("x") + F.size("y") - shared
-        return materialise(both.where(100 * shared >= self.percent * union).select("u", "v"), "links")
+        return self.slots.put("links", both.where(100 * shared >= self.percent * union).select("u", "v"))
+
+    def checked(self, pairs: DataFrame) -> DataFrame:
+        """The links among proposed pairs."""
+        tried = self.sifted(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
+        return self.confirmed(tried, self.sets(tried.select(F.explode(F.array("u", "v")).alias("node"))))
+
+    def labels(self, links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+        """Components of the links and, with them, of those known before."""
+        if before is not None:
+            links = links.unionByName(before.select(F.col("node").alias("u"), F.col("label").alias("v")))
+        found = self.slots.put("labels", connected(links, self.slots))
+        self.slots.drop("edges", "links", "candidates")
+        return found
 
     def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of buckets with several components: (key, node, label, largest, members)."""
+        """Members of buckets with several components: (key, node, label, largest, members).
+
+        They are written in place of those of the round before, which hold them all.
+        """
         labelled = members.select("key", "node").join(labels, "node", "left")
-        labelled = labelled.select("key", "node", F.coalesce("label", "node").alias("label"))
+        # One shuffle by bucket serves both the counts and the join with them.
+        labelled = labelled.select("key", "node", F.coalesce("label", "node").alias("label")).repartition("key")
         sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
         tops = sizes.groupBy("key").agg(
             F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("labels"), F.sum("size").alias("members")
         )
         tops = tops.where("labels > 1").select("key", F.col("top.label").alias("largest"), "members")
-        return labelled.join(tops, "key")
+        return self.slots.put("open", labelled.join(tops, "key"))
 
-    def retried(self, members: DataFrame, labels: DataFrame, attempt: int) -> DataFrame:
+    def retried(self, open_: DataFrame, attempt: int) -> DataFrame:
         """Links of another member of each crowded bucket's largest component with those outside of it."""
-        open_ = self.mixed(members, labels).where(F.col("members") > CROWD)
+        crowded = open_.where(F.col("members") > CROWD)
         draw = F.min_by("node", F.xxhash64("node", F.lit(attempt)))
-        leaders = open_.where("label = largest").groupBy("key").agg(draw.alias("leader"))
-        pairs = open_.where("label <> largest").join(leaders, "key")
-        tried = self.sifted(pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")))
-        return self.confirmed(tried, self.sets(tried.select(F.explode(F.array("u", "v")).alias("node"))))
+        leaders = crowded.where("label = largest").groupBy("key").agg(draw.alias("leader"))
+        pairs = crowded.where("label <> largest").join(leaders, "key")
+        return self.checked(pairs.select(F.col("node").alias("u"), F.col("leader").alias("v")))
 
-    def unsettled(self, members: DataFrame, labels: DataFrame) -> DataFrame | None:
+    def unsettled(self, open_: DataFrame) -> DataFrame | None:
         """Links between components that the buckets' first links did not find.
 
         Two classes of one bucket and different components meet unless both lie in the
         bucket's largest component. Those whose sketches allow a link to any other are
         found by semi-joins, which give each class once. A shingle that no other of these
         classes has cannot be shared: what is left of a set bounds its overlap with any
-        other, and with it the pairs that are looked at; of these, finer odd sketches leave
-        those near the similarity asked for.
+        other, and with it the classes and pairs that are looked at; of these, finer odd
+        sketches leave those near the similarity asked for.
         """
-        open_ = self.mixed(members, labels).drop("members").join(self.sketches, "node")
-        open_ = materialise(open_, "open-buckets")
+        open_ = self.slots.put("sketched", open_.drop("members").join(self.sketches, "node"))
         outside = open_.where("label <> largest")
         meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label")) & _alike(self.percent)
         ones = outside.alias("a").join(open_.alias("b"), meet, "left_semi").select("node")
@@ -217,23 +252,85 @@ class _Links:
         each = sets.select("node", F.explode("shingles").alias("shingle"))
         repeated = each.groupBy("shingle").agg(F.count("*").alias("classes")).where("classes > 1")
         most = each.join(repeated, "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("most"))
-        fine = sets.mapInArrow(_fine_sketches, "node long, fine array<bigint>")
-        most = materialise(most.join(fine, "node").join(self.bands, "node"), "overlaps")
+        bounded = self.slots.put("bounded", open_.join(most, "node"))
+        outside = bounded.where("label <> largest")
         overlap = F.least("a.most", "b.most")
-        possible = 100 * overlap >= self.percent * (F.col("a.n") + F.col("b.n") - overlap)
+        possible = meet & (100 * overlap >= self.percent * (F.col("a.n") + F.col("b.n") - overlap))
+        ones = outside.alias("a").join(bounded.alias("b"), possible, "left_semi").select("node")
+        others = bounded.alias("b").join(outside.alias("a"), possible, "left_semi").select("node")
+        near = self.slots.put("near", ones.union(others).distinct())
+        # As many tasks as cores have a use for: a fine sketch takes long, and the sets are few.
+        spread = sets.join(near, "node", "left_semi").repartition(4 * sets.sparkSession.sparkContext.defaultParallelism, "node")
+        fine = spread.mapInArrow(_fine_sketches, "node long, fine array<bigint>")
+        fine = self.slots.put("fine", fine.join(self.bands, "node"))
         once = (F.col("b.label") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node"))
         # Each pair counts in the first bucket it shares, not in all of them.
         first = F.get(F.array_intersect("a.bands", "b.bands"), F.lit(0)) == F.col("a.key")
         apart = F.zip_with("a.fine", "b.fine", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
         differing = F.aggregate(apart, F.lit(0), lambda total, n: total + n)
         close = differing <= differing_bits(FINE_SIFT, FINE_WORDS, FINE * SAMPLES)
-        met = outside.join(most, "node").alias("a").join(
-            open_.join(most, "node").alias("b"), meet & once & possible & first & close
+        met = bounded.where("label <> largest").join(fine, "node").alias("a").join(
+            bounded.join(fine, "node").alias("b"), possible & once & first & close
         )
         pairs = met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
         return self.confirmed(pairs.distinct(), sets)
 
 
+def labelled(docs: DataFrame, width: int = 5, percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Each document as (doc_id, those to carry, ``n``, ``d1``, ``d2``, ``root``, ``component_id``), without its text.
+
+    ``n`` is the size of its set and ``d1`` and ``d2`` are 128 bits of it; documents of one ``root``
+    are one component. A document without words has no root. See ``group``.
+
+    ``docs`` is read again for the sets of candidates. Sketches are written once, and every
+    table of a round is deleted when the next one has taken its place.
+    """
+    slots = Slots(docs.sparkSession)
+    docs = docs.select("doc_id", *carry, "text")
+    kinds = dict(docs.dtypes)
+    names = "".join(f"{name} {kinds[name]}, " for name in ("doc_id", *carry))
+    names += "n long, d1 long, d2 long, " + "".join(f"s{j} long, " for j in range(SKETCH_WORDS)) + "bands array<bigint>"
+    sketched = slots.put("sketches", docs.mapInArrow(functools.partial(_sketches, width=width), names))
+    ids = slots.put("ids", sketched.drop("bands", *(f"s{j}" for j in range(SKETCH_WORDS))))
+    rest = ("n", *(f"s{j}" for j in range(SKETCH_WORDS)), "bands")
+    classes = sketched.where("n > 0").groupBy("d1", "d2").agg(*(F.first(c).alias(c) for c in rest), F.min("doc_id").alias("least"))
+    classes = slots.put("classes", classes.withColumn("node", F.monotonically_increasing_id()))
+    slots.drop("sketches")
+    total, distinct = ids.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.sum("n"), F.count("doc_id")).first()
+    links = _Links(docs, classes, total != distinct, width, percent, slots)
+
+    # One shuffle by bucket serves both the least member and the join with it.
+    members = classes.select("node", F.explode("bands").alias("key")).repartition("key")
+    shared = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).where("members > 1")
+    members = slots.put("open", members.join(shared.drop("members"), "key"))
+    labels = links.labels(links.checked(members.where("node > leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))))
+    members = links.mixed(members, labels)
+    for attempt in range(RETRIES):
+        more = links.retried(members, attempt)
+        if more.isEmpty():
+            break
+        labels = links.labels(more, labels)
+        members = links.mixed(members, labels)
+    more = links.unsettled(members)
+    if more is not None and not more.isEmpty():
+        labels = links.labels(more, labels)
+    slots.drop("open", "sketched", "bounded", "near", "fine", "sets", "involved", "links", "candidates")
+
+    rooted = classes.select("d1", "d2", "least", "node").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    result = slots.put("components", rooted.join(least, "root").select("d1", "d2", "root", "component_id"))
+    slots.drop("classes", "labels", "edges")
+    named = ids.join(result, ["d1", "d2"], "left")
+    return named.withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+
+
+def _keepers(found: DataFrame) -> DataFrame:
+    """Of each component the document that stays, as (doc_id, d1, d2); several rows may be that document."""
+    own = found.where(F.col("root").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = own.groupBy("root").agg(F.first("doc_id").alias("doc_id"), F.min(F.struct("d1", "d2")).alias("set"))
+    return chosen.select("doc_id", "set.d1", "set.d2")
+
+
 def group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents with ``row`` (a number of their own), ``n_shingles``, ``component_id`` and ``keeper``.
 
@@ -245,67 +342,56 @@ def group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     Equal sets are one class, and only classes are compared. Each band's bucket first
     links its members to its least one, and in a few more rounds to others, so that a
-    bucket of n classes costs n pairs a round.
-    After components are known, whatever is left of the buckets is settled exactly (see
-    ``_Links.unsettled``). No bucket is cut off. Full sets confirm each pair.
-
-    Documents and sketches are written to the shared folder once. A null text has no
-    words. Repeated rows share a class; one of them is the keeper. Rows without doc_id
-    count last in a component, which has no id if all its rows lack one. An empty table
-    gives no rows. Other columns are kept; one named like a result is replaced.
+    bucket of n classes costs n pairs a round; only buckets that still hold several
+    components go on to the next round. What is left of them then is looked at pair by pair
+    (see ``_Links.unsettled``). No bucket is cut off. Full sets confirm each pair; bands and
+    sketches, which propose, may miss a pair with the small probabilities stated at their
+    sizes.
+
+    Here the documents are written to the shared folder once, for the numbers;
+    ``labelled`` and ``drop_duplicates`` do without. A null text has no words. Repeated
+    rows share a class; one of them is the keeper. Rows without doc_id count last in a component,
+    which has no id if all its rows lack one. An empty table gives no rows. Other columns
+    are kept; one named like a result is replaced.
     """
     made = ("row", "n_shingles", "component_id", "keeper")
     docs = docs.select(*(c for c in docs.columns if c not in made))
     numbered = materialise(docs.withColumn("row", F.monotonically_increasing_id()), "documents")
-    names = "row long, n long, d1 long, d2 long, " + "".join(f"s{j} long, " for j in range(SKETCH_WORDS))
-    sketched = numbered.select("row", "text").mapInArrow(functools.partial(_sketches, width=width), f"{names}bands array<bigint>")
-    sketched = materialise(sketched, "sketches")
-    ids = numbered.select("row", "doc_id")
-    lean = sketched.select("row", "n", "d1", "d2")
-    chosen = lean.where("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("row"))
-    # A class goes by the number of its first row, so that numbers are unique.
-    classes = sketched.drop("d1", "d2").join(chosen, "row").withColumn("node", F.col("row"))
-    classes = materialise(classes, "classes")
-    links = _Links(numbered, classes, width, percent)
-
-    members = classes.select("node", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members"))
-    members = members.join(shared.where("members > 1").drop("members"), "key")
-    members = materialise(members, "buckets")
-    stars = members.where("node > leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-    tried = links.sifted(stars)
-    found = links.confirmed(tried, links.sets(tried.select(F.explode(F.array("u", "v")).alias("node"))))
-    labels = connected(found)
-    for attempt in range(RETRIES):
-        more = links.retried(members, labels, attempt)
-        if more.isEmpty():
-            break
-        found = found.unionByName(more)
-        labels = connected(found)
-    more = links.unsettled(members, labels)
-    if more is not None and not more.isEmpty():
-        labels = connected(found.unionByName(more))
-
-    named = lean.join(ids, "row")
-    by_class = named.where("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
-    rooted = by_class.join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    result = rooted.join(least, "root").select("d1", "d2", "root", "component_id")
-    named = named.join(result, ["d1", "d2"], "left")
-    named = named.withColumns(
-        {
-            "root": F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("row")),
-            "component_id": F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")),
-        }
+    found = materialise(labelled(numbered, width, percent, carry=("row",)), "labelled")
+    keepers = _keepers(found).withColumnRenamed("doc_id", "kept_id")
+    same = (found["d1"] == keepers["d1"]) & (found["d2"] == keepers["d2"]) & found["doc_id"].eqNullSafe(keepers["kept_id"])
+    first = found.join(keepers, same, "left_semi").groupBy("d1", "d2", "doc_id").agg(F.min("row").alias("row"))
+    marked = found.join(first.select("row", F.lit(True).alias("first")), "row", "left")
+    marked = marked.select(
+        "row", F.col("n").alias("n_shingles"), "component_id", (F.col("first").isNotNull() | (F.col("n") == 0)).alias("keeper")
     )
-    keepers = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("row").alias("row"))
-    keepers = keepers.select("row", F.lit(True).alias("keeper"))
-    marked = named.select("row", F.col("n").alias("n_shingles"), "component_id").join(keepers, "row", "left")
-    marked = materialise(marked.withColumn("keeper", F.coalesce("keeper", F.lit(False))), "marks")
-    return numbered.join(marked, "row")
+    return numbered.join(materialise(marked, "marks"), "row")
 
 
 def drop_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with its own columns."""
+    """One document of each group, with its own columns; those without words all stay.
+
+    Documents with an id of their own are kept by it. Of those whose id others have too, or
+    that have none, the digest of the set tells which is meant, and one of equal ones stays.
+    """
     own, back = own_names(docs, "doc_id", "text")
-    return back(group(own, width, percent).where("keeper"))
+    found = materialise(labelled(own.select("doc_id", "text"), width, percent), "labelled")
+    chosen = _keepers(found)
+    wordless = found.where("n = 0").select("doc_id", "d1", "d2")
+    kept = materialise(chosen.union(wordless.distinct()), "kept")
+    several = found.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 or doc_id is null").select("doc_id")
+    several = materialise(several, "several")
+    if several.isEmpty():
+        return back(own.join(kept.select("doc_id"), "doc_id", "left_semi"))
+    one = own.join(kept.join(several, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
+    # Null ids equal each other here.
+    rows = own.join(several.withColumnRenamed("doc_id", "other"), F.col("doc_id").eqNullSafe(F.col("other")), "left_semi")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
+    rows = rows.mapInArrow(functools.partial(_with_digests, width=width), f"{types}, n long, d1 long, d2 long")
+    names = kept.select(F.col("doc_id").alias("kept_id"), F.col("d1").alias("k1"), F.col("d2").alias("k2"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2"))
+    rows = rows.join(names, same, "left_semi")
+    order = Window.partitionBy("doc_id", "d1", "d2").orderBy(F.xxhash64("text"))
+    numbered = rows.where("n > 0").withColumn("place", F.row_number().over(order)).where("place = 1")
+    rest = numbered.select(*own.columns).unionByName(rows.where("n = 0").select(*own.columns))
+    return back(one.unionByName(rest))

@@ -78,10 +78,9 @@ def op4_chat_text(spark, sf_dir):
 
 @query
 def op5_near_duplicates(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    grouped = near_duplicates.group(documents, width=2, percent=80)
+    found = near_duplicates.labelled(table(spark, sf_dir, "documents"), width=2, percent=80)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return grouped.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
 
 @query
