@@ -30,6 +30,8 @@ NEAR, FAR = 24, 4
 BEAM, STRIDE = 16, 4
 #: Vectors and queries of a block: what meets in one row of the join of lists and queries.
 BLOCK, QUERY_BLOCK = 512, 256
+#: Queries whose best are held by a task before they leave it.
+HELD = 1 << 16
 
 
 @dataclass
@@ -141,7 +143,13 @@ def nearest_centres(points: np.ndarray, index: Index, ratio: float) -> tuple[np.
     centres, graph, n, k = index.centres, index.graph, len(points), len(index.centres)
     entries = np.unique(np.linspace(0, k - 1, min(k, int(np.sqrt(k)) + 1)).astype(int))
     seen, open_ = np.full((n, k), np.inf, np.float32), np.full((n, k), np.inf, np.float32)
-    seen[:, entries] = np.sqrt(np.square(points[:, None, :] - centres[None, entries]).sum(axis=2))
+    squared, own_squared = np.square(centres).sum(axis=1), np.square(points).sum(axis=1)
+
+    def distances(w: np.ndarray, t: np.ndarray) -> np.ndarray:
+        products = np.einsum("ij,ij->i", points[w], centres[t])
+        return np.sqrt(np.maximum(0, own_squared[w] + squared[t] - 2 * products))
+
+    seen[:, entries] = np.sqrt(np.maximum(0, own_squared[:, None] + squared[entries] - 2 * points @ centres[entries].T))
     open_[:, entries] = seen[:, entries]
     stride, done, active = min(STRIDE, k), 0, np.arange(n)
     while len(active):
@@ -162,7 +170,7 @@ def nearest_centres(points: np.ndarray, index: Index, ratio: float) -> tuple[np.
         who, to = flat // k, flat % k
         for at in range(0, len(who), 1 << 16):
             w, t = who[at : at + (1 << 16)], to[at : at + (1 << 16)]
-            seen[w, t] = open_[w, t] = np.sqrt(np.square(points[w] - centres[t]).sum(axis=1))
+            seen[w, t] = open_[w, t] = distances(w, t)
         active = active[going.any(axis=1)]
         done += stride
     return seen, seen.min(axis=1)
@@ -205,33 +213,48 @@ def _route(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Recor
             yield batch.append_column("lists", pa.array(lists, pa.list_(pa.int32())))
 
 
-def best(queries: np.ndarray, vectors: np.ndarray, ids: list[list[int]], k: int) -> Iterator[list[tuple[float, int]]]:
-    """For each query the ``k`` best (score, id), ties to lesser ids; each vector stands for several ids."""
-    scores = inner_products(queries, vectors)
-    least = np.array([of[0] for of in ids])
-    for row in scores:
-        order = np.lexsort((least, -row))
-        if len(order) > k:
-            order = order[: max(k, int(np.searchsorted(-row[order], -row[order[k - 1]], side="right")))]
-        found = [(float(row[j]), i) for j in order for i in ids[j]]
-        yield sorted(found, key=lambda x: (-x[0], x[1]))[:k]
+Scored = list[tuple[float, int]]
+
+
+def improved(held: Scored, scores: np.ndarray, ids: list[list[int]], k: int) -> Scored:
+    """The ``k`` best (score, id) of those held and of a block, each id once, ties to lesser ids.
+
+    A vector of the block stands for several ids. Only those that reach what is held are looked at.
+    """
+    found, last = {i: s for s, i in held}, held[-1][0] if len(held) == k else -np.inf
+    near = np.flatnonzero(scores >= last)
+    for j in near[np.argsort(-scores[near], kind="stable")]:
+        score = float(scores[j])
+        if score < last:
+            break
+        for i in ids[j]:
+            found[i] = max(score, found.get(i, score))
+        if last == -np.inf and len(found) >= k:
+            last = score
+    return [(s, i) for i, s in sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k]]
 
 
 SCORED = "query binary, score double, vec_id long"
 
 
 def _meet(batches: Iterator[pa.RecordBatch], kind: str, k: int) -> Iterator[pa.RecordBatch]:
-    """The best of each block of a list for each query of a block that meets it."""
+    """The best that a task finds for each of its queries, whatever number of lists they meet in it."""
+    held: dict[bytes, Scored] = {}
     for batch in batches:
         for row in batch.to_pylist():
             vectors = _matrix([p["vector"] for p in row["postings"]], kind)
-            queries = _matrix([q["vector"] for q in row["queries"]], kind)
-            found = best(queries, vectors, [p["ids"] for p in row["postings"]], k)
-            yield _scored([(q["name"], *pair) for q, pairs in zip(row["queries"], found) for pair in pairs])
-
-
-def _scored(rows: list[tuple[bytes, float, int]]) -> pa.RecordBatch:
-    names, scores, ids = zip(*rows) if rows else ((), (), ())
+            ids = [p["ids"] for p in row["postings"]]
+            for query, scores in zip(row["queries"], inner_products(_matrix([q["vector"] for q in row["queries"]], kind), vectors)):
+                held[query["name"]] = improved(held.get(query["name"], []), scores, ids, k)
+            if len(held) > HELD:
+                yield _scored(held)
+                held.clear()
+    yield _scored(held)
+
+
+def _scored(held: dict[bytes, Scored]) -> pa.RecordBatch:
+    names = [name for name, of in held.items() for _ in of]
+    scores, ids = [s for of in held.values() for s, _ in of], [i for of in held.values() for _, i in of]
     return pa.RecordBatch.from_arrays(
         [pa.array(names, pa.binary()), pa.array(scores, pa.float64()), pa.array(ids, pa.int64())], ["query", "score", "vec_id"]
     )
@@ -239,13 +262,14 @@ def _scored(rows: list[tuple[bytes, float, int]]) -> pa.RecordBatch:
 
 def _brute(batches: Iterator[pa.RecordBatch], queries: np.ndarray, names: list[bytes], kind: str, k: int) -> Iterator[pa.RecordBatch]:
     """The best of all vectors of a partition for each of a few queries."""
-    kept: list[list[tuple[float, int]]] = [[] for _ in names]
+    held: dict[bytes, Scored] = {name: [] for name in names}
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            found = best(queries, _matrix(batch.column("vector").to_pylist(), kind), batch.column("ids").to_pylist(), k)
-            kept = [sorted([*a, *b], key=lambda x: (-x[0], x[1]))[:k] for a, b in zip(kept, found)]
-    yield _scored([(name, *pair) for name, pairs in zip(names, kept) for pair in pairs])
+            ids = batch.column("ids").to_pylist()
+            for name, scores in zip(names, inner_products(queries, _matrix(batch.column("vector").to_pylist(), kind))):
+                held[name] = improved(held[name], scores, ids, k)
+    yield _scored(held)
 
 
 # The operator
