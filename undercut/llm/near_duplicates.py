@@ -214,8 +214,7 @@ class _Links:
         They are written in place of those of the round before, which hold them all.
         """
         labelled = members.select("key", "node").join(labels, "node", "left")
-        # One shuffle by bucket serves both the counts and the join with them.
-        labelled = labelled.select("key", "node", F.coalesce("label", "node").alias("label")).repartition("key")
+        labelled = labelled.select("key", "node", F.coalesce("label", "node").alias("label"))
         sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
         tops = sizes.groupBy("key").agg(
             F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("labels"), F.sum("size").alias("members")
@@ -299,8 +298,8 @@ def labelled(docs: DataFrame, width: int = 5, percent: int = 80, carry: tuple[st
     total, distinct = ids.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.sum("n"), F.count("doc_id")).first()
     links = _Links(docs, classes, total != distinct, width, percent, slots)
 
-    # One shuffle by bucket serves both the least member and the join with it.
-    members = classes.select("node", F.explode("bands").alias("key")).repartition("key")
+    # Counts are combined before the shuffle, and the join's own one may be split where a bucket is hot.
+    members = classes.select("node", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).where("members > 1")
     members = slots.put("open", members.join(shared.drop("members"), "key"))
     labels = links.labels(links.checked(members.where("node > leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))))
