@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from undercut.llm.language_model import frequent as most_frequent
 from undercut.llm.textbytes import slices
 from undercut.llm.tokens import library
 from undercut.shared import materialise
@@ -89,7 +90,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> D
     """Bytes and tokens of every document, as the library would count them.
 
     The corpus is reduced to distinct pre-tokens, which meet the library once each. The
-    most frequent ones, a bounded table, are summed where the documents are; the rest of
+    most frequent ones, a table of ``frequent`` rows at most whatever the partitions, are summed where the documents are; the rest of
     each document's pre-token frequencies is joined with the counts. Frequent pre-tokens
     are the hot keys of that join, so that none is left in it.
 
@@ -102,8 +103,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> D
     counted = units.mapInArrow(functools.partial(_count, path=tokenizer), "unit string, n long, pieces long")
     counted = materialise(counted, "pre-tokens")
     short = counted.where(F.octet_length("unit") <= SHORT)
-    top = short.orderBy(F.desc("n"), "unit").limit(frequent).select("unit", "pieces").collect()
-    split = functools.partial(_split, frequent={row["unit"]: row["pieces"] for row in top})
+    top = most_frequent(short, frequent).select("unit", "pieces").toArrow()
+    split = functools.partial(_split, frequent=dict(zip(top["unit"].to_pylist(), top["pieces"].to_pylist())))
     schema = f"doc_id {kind}, n_bytes long, tokens long, rare array<struct<unit:string,n:bigint>>"
     rows = docs.mapInArrow(split, schema).withColumn("row", F.monotonically_increasing_id())
     # A first element without a unit stands for the document itself. It finds nothing in
