@@ -23,8 +23,9 @@ PATTERNS = {
 KINDS = tuple(PATTERNS)
 #: A sign that every match of a kind has, looked for before its pattern is tried.
 SIGNS = {"email": "@", "ip": ".", "phone": "+"}
-#: Words on either side of a value that count as its surroundings, and where to look for them.
-AROUND, REACH = 5, 200
+#: Words on either side of a value that count as its surroundings, however long. They are
+#: looked for within so many characters at first, then, where that holds too few, in more.
+AROUND, NEAR = 5, (200, 4000)
 #: A word discloses a value if, of all its occurrences, such a share is in surroundings of
 #: that value, in so many distinct texts at least.
 DISCLOSED, TEXTS = 0.5, 3
@@ -141,6 +142,22 @@ def word_counts(docs: DataFrame, stems: DataFrame) -> DataFrame:
     return counts.withColumn("stem", F.substring("word", 1, STEM)).join(stems, "stem")
 
 
+def surroundings(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
+    """The AROUND words before a span, nearest first, and those after it, as in the whole text.
+
+    A word at the edge of a stretch may be cut, so a stretch counts if it has one word more,
+    or ends where the text does.
+    """
+    words = lambda stretch: F.regexp_extract_all(F.lower(stretch), F.lit(WORD), 0)
+    left = F.slice(F.reverse(words(F.substring(text, F.lit(1), start))), 1, AROUND)
+    right = F.slice(words(F.substring(text, end + 1, F.length(text))), 1, AROUND)
+    for n in reversed(NEAR):
+        before, after = words(F.substring(text, start - n + 1, F.lit(n))), words(F.substring(text, end + 1, F.lit(n)))
+        left = F.when((start > n) & (F.size(before) > AROUND), F.slice(F.reverse(before), 1, AROUND)).otherwise(left)
+        right = F.when(F.size(after) > AROUND, F.slice(after, 1, AROUND)).otherwise(right)
+    return left, right
+
+
 def disclosing_words(docs: DataFrame, found: DataFrame, share: float = DISCLOSED, texts: int = TEXTS) -> DataFrame:
     """(value, word, generalised): words that give away a value.
 
@@ -153,10 +170,7 @@ def disclosing_words(docs: DataFrame, found: DataFrame, share: float = DISCLOSED
     so, taken together, stay under the share; otherwise it is to be removed.
     """
     near = found.select("t1", "text", F.explode("base").alias("span"))
-    before = F.expr(f"substring(text, greatest(span.start - {REACH}, 0) + 1, least({REACH}, span.start))")
-    after = F.expr(f"substring(text, span.end + 1, {REACH})")
-    left = F.slice(F.reverse(F.regexp_extract_all(F.lower(before), F.lit(WORD), 0)), 1, AROUND)
-    right = F.slice(F.regexp_extract_all(F.lower(after), F.lit(WORD), 0), 1, AROUND)
+    left, right = surroundings(F.col("text"), F.col("span.start"), F.col("span.end"))
     meetings = near.select("t1", F.col("span.value").alias("value"), F.explode(F.concat(left, right)).alias("word"))
     counts = meetings.groupBy("value", "word", "t1").agg(F.count("*").alias("n"))
     counts = counts.groupBy("value", "word").agg(F.sum("n").alias("met"), F.count("*").alias("texts"))
