@@ -7,6 +7,8 @@ import string
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -170,3 +172,46 @@ def context_tree(rows, depth):
         return total
 
     return score
+
+
+def _chunk_list(text, m):
+    """Chunks of one text as (start, end, words) in bytes, by looking at every window of words."""
+    raw = text.encode()
+    spans = [(w.start(), w.end()) for w in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    words = m.Words(pa.array([text]), m.SPACED, lower=False)
+    value = [int(v) for v in m.units(words)]
+    gear = [sum(value[j - a] << (m.SHIFT * a) for a in range(m.COVERED)) % 2**64 for j in range(m.COVERED - 1, len(value))]
+    found = set()
+    for s in range(len(gear) - m.WINDOW + 1):
+        least = min(gear[s : s + m.WINDOW])
+        found.add(max(j for j in range(s, s + m.WINDOW) if gear[j] == least))
+    found, stretches = sorted(found), []
+    for j in found:
+        tied = stretches and gear[stretches[-1][-1]] == gear[j] and j - stretches[-1][-1] <= m.COVERED
+        stretches[-1].append(j) if tied else stretches.append([j])
+    kept, edge = [], m.RUN_WORDS
+    for own in stretches:
+        kept += [j for i, j in enumerate(own) if i <= edge or len(own) - 1 - i <= edge or (i - edge) % m.PERIODS == 0]
+    ends = [0, *(spans[j + m.COVERED - 1][0] for j in kept), len(raw)]
+    return [(a, b, sum(a <= s < b for s, _ in spans)) for a, b in zip(ends, ends[1:]) if b > a]
+
+
+def repeated_passages(rows, m):
+    """(doc_id, start, end, words, chunks, first_doc_id, first_start, least_doc_id) of distinct rows, in lists and dicts."""
+    rows = [(i, t) for i, t in dict.fromkeys(rows) if t is not None]
+    cut = {(i is None, i or 0, t if i is None else ""): (i, t.encode(), _chunk_list(t, m)) for i, t in rows}
+    first = {}
+    for key in sorted(cut):
+        for a, b, _ in cut[key][2]:
+            first.setdefault(cut[key][1][a:b], (key, a))
+    for key, (doc, raw, own) in cut.items():
+        run = []
+        for a, b, n in [*own, (None, None, 0)]:
+            if a is not None and first[raw[a:b]] != (key, a):
+                run.append((a, b, n))
+                continue
+            if sum(n for *_, n in run) >= m.RUN_WORDS:
+                whence = [first[raw[x:y]] for x, y, _ in run]
+                ids = [cut[k][0] for k, _ in whence if cut[k][0] is not None]
+                yield (doc, run[0][0], run[-1][1], sum(n for *_, n in run), len(run), cut[whence[0][0]][0], whence[0][1], min(ids, default=None))
+            run = []

@@ -130,6 +130,18 @@ def test_disclosing_words_are_generalised_or_removed(spark):
     assert all(clean[i] == text for i, text in rows[6:])
 
 
+def test_surroundings_are_whole_words_however_long(spark):
+    """Long words beside an address: five on either side are its surroundings, and no part of a sixth."""
+    for size in (30, 120, 156, 5000):
+        words = [f"{chr(97 + i)}{str(i) * size}z" for i in range(12)]
+        text = " ".join([*words[:6], "ann@x.org", *words[6:]])
+        rows = [(i, f"{prose(i, 20)} {text} {prose(i + 50, 20)}") for i in range(3)]
+        found = personal_data.find(plain(spark, rows)).collect()
+        for r in found:
+            added = {rows[r.doc_id][1][s.start : s.end] for s in r.added}
+            assert added & set(words) == set(words[1:11]) and added <= set(words) | set(rows[r.doc_id][1].split())
+
+
 def test_word_that_discloses_two_values_is_removed_if_either_asks(spark):
     """'zorkmid' is beside the address in all ten texts, beside the number in six; a third of its stem is elsewhere."""
     rows = [(i, f"{prose(i, 30)} ann@x.org zorkmid +49 30 1234567 {prose(i + 50, 30)}") for i in range(6)]
@@ -346,6 +358,45 @@ def test_repeated_passages(spark):
     assert all(len(cut[i]) < len(texts[i]) for i in planted)
 
 
+def planted_passages():
+    """(rows, passages by copy): one-letter words, periodic passages and words of any length in other surroundings."""
+    rng, rows, planted = random.Random(11), [(0, None), (1, ""), (2, " \n ")], {}
+    word = lambda low, high: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(low, high)))
+    kinds = [
+        lambda: " ".join(word(1, 1) for _ in range(51)),
+        lambda: " ".join(word(1, 300) for _ in range(51)),
+        lambda: " ".join(["no"] * 60),
+        lambda: " ".join([word(1, 4), word(2, 2)] * 30),
+        lambda: " ".join([*(word(3, 3) for _ in range(26)), *["eh", "oh", "ah"] * 9]),
+        lambda: " ".join([*["uh"] * 26, *(word(1, 2) for _ in range(25))]),
+        lambda: " ".join([word(2, 2), word(3, 3)] * 90) + "\n" + " ".join(["la"] * 120),
+    ]
+    for k in range(84):
+        passage = kinds[k % len(kinds)]()
+        for doc in (10 + 2 * k, 11 + 2 * k):
+            more = rng.choice(["no no no ", "uh uh ", "", "\n", "ah "])
+            rows.append((doc, f"{' '.join(word(1, 9) for _ in range(rng.randrange(40)))} {more}{passage} {word(1, 9)} {more}{word(2, 8)}"))
+        planted[11 + 2 * k] = passage
+    return rows, planted
+
+
+def test_every_passage_of_over_fifty_words_is_met(spark):
+    rows, planted = planted_passages()
+    texts, met = dict(rows), defaultdict(int)
+    for r in substrings.repeated_passages(plain(spark, rows)).collect():
+        run = texts[r.doc_id].encode()[r.start : r.end].decode()
+        at = texts[r.doc_id].index(planted[r.doc_id]) if r.doc_id in planted else None
+        if at is not None and r.start < at + len(planted[r.doc_id]) and r.end > at:
+            met[r.doc_id] = max(met[r.doc_id], len(run.split()))
+    assert set(met) == set(planted) and min(met.values()) >= 16
+
+
+def test_repeated_passages_are_those_of_brute_force(spark):
+    rows = planted_passages()[0] + [(300 + i, prose(i % 7, 90) + prose(i, 40)) for i in range(20)] + [(None, prose(3, 90)), (8, prose(4, 3000))]
+    found = substrings.repeated_passages(plain(spark, [*rows, rows[-2], rows[5]])).collect()
+    assert multiset(found) == multiset(brute.repeated_passages(rows, substrings))
+
+
 def test_chunks_are_the_texts_and_resist_shifts(spark):
     rows = [r for r in odd_rows() if r[0] in (7, 8, 9, 10)] + [(99, "inserted here " + prose(4, 30_000))]
     found = defaultdict(list)

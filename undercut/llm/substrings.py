@@ -10,84 +10,86 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from undercut.llm.textbytes import SPACED, joined, mix, slices
-
-#: A chunk ends where the gear hash is less than at the REACH bytes before and no more than
-#: at those after: every 40 bytes or so, and rarely much later. The hash covers 32 bytes, so
-#: the 52 bytes before and the 20 after decide alone. No chunk is longer than MOST.
-REACH, COVERED, MOST = 20, 32, 256
-#: The gear: a fixed random number for each byte.
-GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
-#: Words of a run of repeated chunks that counts as a passage. Chunks at both ends of a
-#: shared passage reach beyond it, so this lies well under the passages to be found.
+from undercut.llm.textbytes import SPACED, Words, mix, slices
+
+#: The gear hash rolls over words: each shifts it by SHIFT of its 64 bits, so that COVERED
+#: words have a say. A chunk begins where it is least in any run of WINDOW words, ties to
+#: the last: every eight words or so, and never later than WINDOW. Those runs alone decide,
+#: so copies of a passage of n words have n - COVERED - 2 * WINDOW + 1 words at least, 17 of
+#: 51, in whole chunks that are the same.
+COVERED, SHIFT, WINDOW = 3, 22, 16
+#: Words of a run of repeated chunks that counts as a passage.
 RUN_WORDS = 16
-
-
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """At each byte, the sum of the gear of the last 32 bytes, each shifted by its age."""
-    out = GEAR[data]
-    age = 1
-    while age < 32:
-        older = out[:-age] << np.uint32(age)
-        out[age:] += older
-        age *= 2
+#: Where COVERED words or fewer go on and on, each such period is a chunk; further than
+#: RUN_WORDS periods from both ends of the stretch, a chunk has so many of them.
+PERIODS = 4
+
+
+def units(words: Words) -> np.ndarray:
+    """A hash for each word with the white space after it, which a text's last word is without."""
+    if not len(words.starts):
+        return words.hashes
+    spaces = np.zeros(len(words.starts), np.uint64)
+    wide = (words.starts[1:] - words.ends[:-1]).astype(np.uint64) << np.uint64(8)
+    inner = words.rows[1:] == words.rows[:-1]
+    spaces[:-1] = np.where(inner, wide + words.data[words.ends[:-1]], np.uint64(0))
+    return mix(words.hashes + mix(spaces))
+
+
+def gear_hashes(values: np.ndarray) -> np.ndarray:
+    """At each word, the sum of the last words' values, each shifted by its age."""
+    out = values.copy()
+    for age in range(1, COVERED):
+        out[age:] += values[:-age] << np.uint64(SHIFT * age)
     return out
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """Where a hash is less than the REACH before it and no more than the REACH after it."""
-    n = len(hashes) - 2 * REACH
-    if n < 1:
-        return np.zeros(0, np.int64)
-    least, width = hashes, 1
-    while 2 * width <= REACH:
-        least, width = np.minimum(least[:-width], least[width:]), 2 * width
-    least = np.minimum(least[: len(hashes) - REACH + 1], least[REACH - width :])
-    own = hashes[REACH : REACH + n]
-    return np.flatnonzero((own < least[:n]) & (own <= least[REACH + 1 : REACH + 1 + n])) + REACH
-
-
-def cut(candidates: list[int], start: int, end: int) -> list[int]:
-    """Ends of the chunks of one text, given where the hash wants them."""
-    ends, at = [], start
-    for stop in [*candidates, end]:
-        while stop - at > MOST:
-            at += MOST
-            ends.append(at)
-        if stop > at:
-            at = stop
-            ends.append(at)
-    return ends
+def minima(hashes: np.ndarray, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Words where a chunk begins, in order, given the text of each word and its place there."""
+    least, width = np.arange(len(hashes)), 1
+    while width < WINDOW:
+        left, right = least[: max(0, len(least) - width)], least[width:]
+        least, width = np.where(hashes[right] <= hashes[left], right, left), 2 * width
+    begun = np.arange(len(least))
+    inside = (places[begun] >= COVERED - 1) & (rows[begun] == rows[begun + WINDOW - 1])
+    found = np.unique(least[inside])
+    if not len(found):
+        return found
+    tied = (np.diff(hashes[found]) == 0) & (np.diff(found) <= COVERED) & (np.diff(rows[found]) == 0)
+    order, no = np.arange(len(found)), np.array([False])
+    first = np.maximum.accumulate(np.where(np.concatenate((no, tied)), 0, order))
+    last = np.minimum.accumulate(np.where(np.concatenate((tied, no)), order[-1], order)[::-1])[::-1]
+    into, left = order - first, last - order
+    return found[(into <= RUN_WORDS) | (left <= RUN_WORDS) | ((into - RUN_WORDS) % PERIODS == 0)]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's chunks: byte offset, length, words begun in it, 128 bits of digest."""
     for batch in batches:
         for rows in slices(batch):
-            data, starts = joined(rows.column("text"))
-            allowed = minima(gear_hashes(data)) + 1
-            bounds = np.searchsorted(allowed, starts)
-            inside = np.concatenate(([False], SPACED[data]))
-            begun = np.concatenate(([0], np.cumsum(inside[1:] & ~inside[:-1])))
-            raw, offsets, firsts, digests, ends = memoryview(data), [], [], [], [0]
+            words = Words(rows.column("text"), SPACED, lower=False)
+            places = np.arange(len(words.starts)) - words.first[words.rows]
+            begins = words.starts[minima(gear_hashes(units(words)), words.rows, places)]
+            bounds = np.searchsorted(begins, words.texts)
+            raw, offsets, firsts, digests, ends = memoryview(words.data), [], [], [], [0]
             for i in range(rows.num_rows):
-                start, end = int(starts[i]), int(starts[i + 1]) - 1
+                start, end = int(words.texts[i]), int(words.texts[i + 1]) - 1
                 at = start
-                mine = allowed[bounds[i] : bounds[i + 1]]
-                own = (mine > start + COVERED + REACH) & (mine < end - REACH)  # no other text has a say
-                for stop in cut(mine[own].tolist(), start, end):
-                    offsets.append(at - start)
-                    firsts.append((at, stop))
-                    digests.append(xxhash.xxh3_128_digest(raw[at:stop]))
-                    at = stop
+                for stop in [*begins[bounds[i] : bounds[i + 1]].tolist(), end]:
+                    if stop > at:
+                        offsets.append(at - start)
+                        firsts.append((at, stop))
+                        digests.append(xxhash.xxh3_128_digest(raw[at:stop]))
+                        at = stop
                 ends.append(len(offsets))
             spans = np.array(firsts, np.int64).reshape(-1, 2)
+            begun = np.searchsorted(words.starts, spans)
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             chunks = pa.StructArray.from_arrays(
                 [
                     pa.array(np.array(offsets, np.int32)),
                     pa.array((spans[:, 1] - spans[:, 0]).astype(np.int32)),
-                    pa.array((begun[spans[:, 1]] - begun[spans[:, 0]]).astype(np.int32)),
+                    pa.array((begun[:, 1] - begun[:, 0]).astype(np.int32)),
                     pa.array(np.ascontiguousarray(halves[:, 0])),
                     pa.array(np.ascontiguousarray(halves[:, 1])),
                 ],
@@ -116,7 +118,12 @@ def repeated_passages(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFram
     a run, which is returned when ``least_words`` words begin in it: doc_id, start and end
     in UTF-8 bytes, its words and chunks, and the document and place of its first chunk's
     first occurrence, with the least of the documents where its chunks came first. Removing
-    the runs leaves each passage once in the corpus.
+    the runs leaves each passage once in the corpus. A passage that repeats itself, such as
+    one word over and over, is a copy of its own first chunk from there on, also in the
+    document that has it first.
+
+    Chunks begin at words that their surroundings choose (see ``WINDOW``), so a passage of
+    51 words or more that occurs again, letter for letter, is always met by a run.
 
     Chunks are counted with partial sums, so that a chunk in a third of all documents is
     one row per task; only chunks that repeat at all are joined back, in an equi-join
