@@ -1,9 +1,11 @@
-"""Documents to packed training sequences in five stages, each over what the last one kept."""
+"""Documents to packed training sequences in five stages, each over what the last one kept.
 
-from __future__ import annotations
+A stage takes and returns the columns of documents, others among them, but for the last. Null and
+empty texts have no words, so the quality rules reject them; an empty table stays empty through
+all stages; columns named like those an operator makes are kept as they are.
+"""
 
-import functools
-from collections.abc import Callable
+from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -15,52 +17,26 @@ from undercut.shared import delete_tables, materialise, noted_tables
 ORACLE_SQL = None
 
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Tables that a stage's result is still read from, by stage; as the next stage begins,
-#: that result has been written and they are deleted.
-_TABLES: dict[int, list[str]] = {}
-
-
-def stage(number: int) -> Callable[[Stage], Stage]:
-    def made(function: Stage) -> Stage:
-        @functools.wraps(function)
-        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            delete_tables(spark, _TABLES.pop(number - 1, []))
-            with noted_tables() as tables:
-                result = function(spark, docs, sf_dir)
-            _TABLES[number] = tables
-            return result
-
-        return run_stage
-
-    return made
-
-
-@stage(0)
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised rules reject go."""
     return quality.drop_rejected(docs)
 
 
-@stage(1)
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, by the shingles of the registered query."""
     return near_duplicates.drop_duplicates(docs, width=2, percent=80)
 
 
-@stage(2)
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@stage(3)
 def personal_data_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the words that disclose it are replaced in the texts; all documents stay."""
     return personal_data.sanitise(docs)
 
 
-@stage(4)
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 tokens."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
@@ -76,8 +52,18 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The result of all stages over the documents.
+
+    Each stage's result is written to the shared folder; then the tables it was read from,
+    the result of the stage before among them, are deleted. Those that the last stage's result
+    is read from stay. Whoever calls stages alone has theirs in the folder until it is cleared.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     *stages, (_, last) = STAGES
     for name, step in stages:
-        docs = materialise(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        with noted_tables() as tables:
+            docs = materialise(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        *done, written = tables
+        delete_tables(spark, [*before, *done])
+        before = [written]
     return last(spark, docs, sf_dir)
