@@ -207,8 +207,9 @@ def test_benchmark_items_of_every_length(spark):
         assert sorted(r.doc_id for r in kept) == clean
 
 
-@pytest.mark.parametrize("width", [2, 5])
-def test_near_duplicates(spark, width):
+@pytest.mark.parametrize(("width", "sent"), [(2, near_duplicates.SENT), (5, near_duplicates.SENT), (2, 0)])
+def test_near_duplicates(spark, monkeypatch, width, sent):
+    monkeypatch.setattr(near_duplicates, "SENT", sent)
     rng, rows = random.Random(width), odd_rows()
     for family in range(12):
         text = prose(300 + family, 60).split()

@@ -35,6 +35,9 @@ FINE, FINE_WORDS, FINE_SIFT = 32, 128, 0.75
 RETRIES, CROWD = 3, 16
 #: Shingles hashed for all samples at a time.
 BLOCK = 4096
+#: Classes that are sent to all tasks at most, as a few numbers each; more of them are joined by
+#: shuffles, of the texts among others.
+SENT = 2**18
 
 
 def sets_of(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -131,6 +134,16 @@ def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([*_digests(sets), pa.ListArray.from_arrays(pa.array(ends), values)], ["d1", "d2", "shingles"])
 
 
+def _node_shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """In the place of texts, their sets."""
+    for batch in batches:
+        for rows in slices(batch):
+            sets = list(sets_of(rows.column("text"), width))
+            ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+            values = pa.array(np.concatenate(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.ListArray.from_arrays(pa.array(ends), values)], ["node", "shingles"])
+
+
 def _with_digests(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch):
@@ -148,6 +161,11 @@ def _fine_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, ["node", "fine"])
 
 
+def _sent(written: DataFrame) -> DataFrame:
+    """A written table of numbers of classes, sent to all tasks if its rows are counted and few enough."""
+    return F.broadcast(written) if written.count() <= SENT else written
+
+
 def _alike(percent: int) -> Column:
     """Whether sizes allow the similarity and the odd sketches of both sides speak for it."""
     fits = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
@@ -176,16 +194,18 @@ class _Links:
     def sets(self, nodes: DataFrame) -> DataFrame:
         """The full shingle sets of classes, each from a document that has it.
 
-        Few of them, and the texts need not be shuffled. Documents are found by id; where ids
-        repeat, the digest tells which of them are meant.
+        Documents are found by id. Few classes are sent to where the texts are, and of many the
+        texts are shuffled once. Where ids repeat, the digest tells which document is meant.
         """
         wanted = self.classes.join(nodes.distinct(), "node", "left_semi").select("node", "d1", "d2", "least")
-        wanted = self.slots.put("involved", wanted)
-        asked = wanted.select("least").distinct()
-        texts = self.docs.join(asked, F.col("doc_id").eqNullSafe(F.col("least")), "left_semi").select("text")
+        wanted = _sent(self.slots.put("involved", wanted))
+        if not self.repeats:
+            texts = self.docs.join(wanted.select("node", "least"), F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "text")
+            return self.slots.put("sets", texts.mapInArrow(functools.partial(_node_shingles, width=self.width), "node long, shingles array<bigint>"))
+        texts = self.docs.join(wanted.select("least"), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi").select("text")
         shingles = texts.mapInArrow(functools.partial(_shingles, width=self.width), "d1 long, d2 long, shingles array<bigint>")
         found = shingles.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).select("node", "shingles")
-        return self.slots.put("sets", found.dropDuplicates(["node"]) if self.repeats else found)
+        return self.slots.put("sets", found.dropDuplicates(["node"]))
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
@@ -255,21 +275,24 @@ class _Links:
         outside = bounded.where("label <> largest")
         overlap = F.least("a.most", "b.most")
         possible = meet & (100 * overlap >= self.percent * (F.col("a.n") + F.col("b.n") - overlap))
-        ones = outside.alias("a").join(bounded.alias("b"), possible, "left_semi").select("node")
-        others = bounded.alias("b").join(outside.alias("a"), possible, "left_semi").select("node")
+        # Places in buckets, not classes alone: what follows goes only where a partner is possible.
+        ones = outside.alias("a").join(bounded.alias("b"), possible, "left_semi").select("key", "node")
+        others = bounded.alias("b").join(outside.alias("a"), possible, "left_semi").select("key", "node")
         near = self.slots.put("near", ones.union(others).distinct())
+        close_ones = _sent(self.slots.put("close", near.select("node").distinct()))
         # As many tasks as cores have a use for: a fine sketch takes long, and the sets are few.
-        spread = sets.join(near, "node", "left_semi").repartition(4 * sets.sparkSession.sparkContext.defaultParallelism, "node")
+        spread = sets.join(close_ones, "node", "left_semi").repartition(4 * sets.sparkSession.sparkContext.defaultParallelism, "node")
         fine = spread.mapInArrow(_fine_sketches, "node long, fine array<bigint>")
-        fine = self.slots.put("fine", fine.join(self.bands, "node"))
+        fine = self.slots.put("fine", fine.join(self.bands.join(close_ones, "node", "left_semi"), "node"))
+        placed = bounded.join(near, ["key", "node"], "left_semi")
         once = (F.col("b.label") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node"))
         # Each pair counts in the first bucket it shares, not in all of them.
         first = F.get(F.array_intersect("a.bands", "b.bands"), F.lit(0)) == F.col("a.key")
         apart = F.zip_with("a.fine", "b.fine", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
         differing = F.aggregate(apart, F.lit(0), lambda total, n: total + n)
         close = differing <= differing_bits(FINE_SIFT, FINE_WORDS, FINE * SAMPLES)
-        met = bounded.where("label <> largest").join(fine, "node").alias("a").join(
-            bounded.join(fine, "node").alias("b"), possible & once & first & close
+        met = placed.where("label <> largest").join(fine, "node").alias("a").join(
+            placed.join(fine, "node").alias("b"), possible & once & first & close
         )
         pairs = met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
         return self.confirmed(pairs.distinct(), sets)
@@ -313,7 +336,7 @@ def labelled(docs: DataFrame, width: int = 5, percent: int = 80, carry: tuple[st
     more = links.unsettled(members)
     if more is not None and not more.isEmpty():
         labels = links.labels(more, labels)
-    slots.drop("open", "sketched", "bounded", "near", "fine", "sets", "involved", "links", "candidates")
+    slots.drop("open", "sketched", "bounded", "near", "close", "fine", "sets", "involved", "links", "candidates")
 
     rooted = classes.select("d1", "d2", "least", "node").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
