@@ -112,6 +112,7 @@ def to_dead_letter(
         value = F.concat(F.lit("async-failure:"), F.coalesce(reason, F.lit("null")))
     else:
         value = F.coalesce(record, F.lit("null-value"))
+    # The names of the headers, and the two texts that stand in for a value above.
     headers = F.create_map(
         F.lit("X-Error-Message"), truncate(reason),
         F.lit("X-Original-Topic"), F.lit(topic),

@@ -56,6 +56,7 @@ PREVIEW_MAX_LIMIT = 100
 # Samples kept per metric series in the history view.
 SERIES_HISTORY = 72
 
+# Names and types of the records and tables of the contract, from here to the primary keys.
 TELEMETRY = _struct(
     ("car_id", _STRING, False),
     ("driver_id", _STRING, False),
