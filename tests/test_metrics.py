@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from undercut.operators import metrics
 from undercut.operators.quality import validate_events
+from undercut.plans import inputs
 from undercut.sources.scrapes import read_scrapes
 
 
@@ -116,6 +117,39 @@ def test_metric_text(spark, folder, prefix):
         assert found == parse_by_hand(text, prefix)
 
 
+def test_scrape_in_parts(spark, folder):
+    """Parts follow each other by their numbers, also beyond the five digits of a name and the three of a file."""
+    names = ["part-00000-a-c9f-c000", "part-00000-a-c9f-c999", "part-00000-a-c9f-c1000", "part-00009-a-c9f-c000", "part-99999-a-c9f-c000", "part-100000-a-c9f-c000"]
+    for text, last in (("one", 6), ("two", 5)):
+        os.makedirs(os.path.join(folder, text))
+        for i, name in enumerate(names[:last]):
+            with open(os.path.join(folder, text, f"{name}.txt"), "w") as out:
+                out.write(f"up_all {i}\nup_{i} 1\nup_{i} 2\n")
+    got = metrics.parse_metric_lines(read_scrapes(spark, os.path.join(folder, "*"), parts=True), "up").collect()
+    for text, last in (("one", 6), ("two", 5)):
+        found = {r.name: r.value for r in got if r.source.endswith(f"/{text}")}
+        assert found == {"up_all": last - 1.0, **{f"up_{i}": 2.0 for i in range(last)}}
+
+
+def test_scrapes_written_by_many_tasks(spark, folder, monkeypatch):
+    """No task gets all texts: the one file of them took memory that grew with the events."""
+    from undercut.plans import queries
+
+    monkeypatch.setattr(queries, "shared_folder", lambda session, purpose: os.path.join(folder, purpose))
+    at = "2024-01-01 00:00:00"
+    rows = [(i, dt.datetime.fromisoformat(at), i % 7, "view", i / 4, "{}") for i in random.Random(3).sample(range(4000), 4000)]
+    events = spark.createDataFrame(rows, inputs.TABLES["events"])
+    events.repartition(3).write.parquet(os.path.join(folder, "in", "events.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = queries.QUERIES["scrapes_from_files"](spark, os.path.join(folder, "in")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(tuple, got)) == [("ml_consumer_errors_total", 150.0), ("ml_consumer_messages_consumed_total", 3999 / 4)]
+    sizes = [os.path.getsize(os.path.join(folder, "scrapes", f)) for f in os.listdir(os.path.join(folder, "scrapes")) if f.startswith("part-")]
+    assert len(sizes) == 4 and 2 * max(sizes) < sum(sizes)
+
+
 def test_counters_and_summary(spark):
     rows = events_df(spark, event(), event(lap=None), event(car_id="CAR_02", sector=99), event(fuel_load_kg=math.nan))
     assert tuple(metrics.scoring_counters(rows).first()) == (4, 2, 2)

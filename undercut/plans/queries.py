@@ -135,12 +135,14 @@ def reference_from_files(spark, sf_dir):
 
 @query
 def scrapes_from_files(spark, sf_dir):
-    """Metric texts as files of lines: of each name the last value of a file."""
+    """Metric texts as files of lines: of each name the last value in the order of events.
+
+    Events are sorted before they become texts, and each range of them is a file of its own.
+    """
     folder = shared_folder(spark, "scrapes")
-    texts = project(spark, sf_dir, inputs.METRIC_TEXT_SQL)
-    lines = texts.orderBy("event_id").coalesce(1).select(F.col("text").alias("value"))
-    lines.write.text(folder)
-    return metrics.parse_metric_lines(read_scrapes(spark, folder), "ml_consumer").select("name", "value")
+    texts = spark.sql(inputs.METRIC_TEXT_SQL, events=inputs.table(spark, sf_dir, "events").orderBy("event_id"))
+    texts.select(F.col("text").alias("value")).write.text(folder)
+    return metrics.parse_metric_lines(read_scrapes(spark, folder, parts=True), "ml_consumer").select("name", "value")
 
 
 @query
