@@ -25,6 +25,7 @@ from undercut.llm import (
     sharding,
     substrings,
     token_counts,
+    tokens,
 )
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -281,6 +282,23 @@ def test_language_model(spark):
     assert whole.count() == len(odd_rows()) and whole.where("score >= 0 or base_score >= 0").count() == 0
 
 
+def test_stretches_by_their_pre_tokens(monkeypatch):
+    """Ids are the library's, also when stretches are forgotten, and stretches of plain pre-tokens do not pass through it whole."""
+    rng, whole = random.Random(8), []
+    alphabet = [*"abZ09.,$é ɏ\n\t'́½ ", " ", "  ", " the", "'s", "<|endoftext|>", "\r\n", "日"]
+    texts = ["", " ", "a" * 500 + " " + "é" * 300 + " b"] + ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(2000)]
+    words = [" ".join(f"{rng.choice('abé')}{rng.randint(0, 10**6)}.\nWé,&&& 1.2.3" for _ in range(20)) for _ in range(50)]
+    expect = [np.array(x.ids, "<u4").tobytes() for x in Tokenizer.from_file(BYTES).encode_batch(texts + words, add_special_tokens=False)]
+    monkeypatch.setattr(tokens, "REMEMBERED", 200)
+    encoder = tokens.ByteEncoder(BYTES)
+    for _ in range(2):
+        assert [ids for at in range(0, 2053, 100) for ids in encoder.encode((texts + words)[at : at + 100])] == expect
+    ids_of = tokens.ids_of
+    monkeypatch.setattr(tokens, "ids_of", lambda path, these: whole.extend(these) or ids_of(path, these))
+    assert tokens.ByteEncoder(BYTES).encode(words) == expect[2003:]
+    assert len(whole) <= len(words) + 1
+
+
 @pytest.mark.parametrize("capacity", [16, 1024])
 def test_packing(spark, capacity):
     packed = packing.pack(odd_table(spark), BYTES, capacity=capacity, keep_ids=True).collect()

@@ -22,6 +22,8 @@ from undercut.llm.tokens import encoder
 from undercut.shared import materialise
 
 END_ID = 2
+#: Bytes of text that are encoded together: equal words in them are looked up once.
+AT_ONCE = 4 << 20
 PIECES = "doc_id {id}, piece int, start long, length int, ids_crc32 long, ids binary, part int, rank long"
 
 
@@ -129,7 +131,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, keep_ids:
     """Pieces of each document, with their rank among those of the same length in this partition."""
     part, ranks, end = TaskContext.get().partitionId(), [0] * (capacity + 1), np.array([END_ID], "<u4").tobytes()
     for batch in batches:
-        for rows in slices(batch):
+        for rows in slices(batch, limit=AT_ONCE):
             texts = [t or "" for t in rows.column("text").to_pylist()]
             source, out = [], []
             for i, ids in enumerate(encoder(path).encode(texts)):
