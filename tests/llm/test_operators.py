@@ -264,6 +264,39 @@ def test_components(spark):
     assert found == {i: root(i) for i in linked}
 
 
+def tasks_of(spark, work):
+    """What ``work`` returns, and how many tasks it took."""
+    sc, group = spark.sparkContext, f"tasks-{random.random()}"
+    sc.setJobGroup(group, "counted")
+    try:
+        result, tracker = work(), sc.statusTracker()
+        stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+        return result, sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s)))
+    finally:
+        sc._jsc.clearJobGroup()
+
+
+@pytest.mark.parametrize("sent", [None, 0])
+def test_components_take_few_shuffles(spark, sent):
+    rng, n, more = random.Random(7), 400, {} if sent is None else {"sent": sent}
+    order = rng.sample(range(n), n)
+    paths = [(order[i], order[i + 1]) for i in range(n - 1) if i % 50 != 49]
+    stars = [(1000 + 100 * i, 1000 + 100 * i - j) for i in range(1, 5) for j in range(1, 60)]
+    links = spark.createDataFrame(paths + stars, "u long, v long").coalesce(1)
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for name, value in zip(before, ("40", "false")):
+            spark.conf.set(name, value)
+        found, tasks = tasks_of(spark, lambda: components.connected(links, **more).collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    labels = {i: min(order[at : at + 50]) for at in range(0, n, 50) for i in order[at : at + 50]}
+    labels |= {1000 + 100 * i - j: 1000 + 100 * i - 59 for i in range(1, 5) for j in range(60)}
+    assert {r.node: r.label for r in found} == labels and len(found) == len(labels)
+    assert sent == 0 or tasks < 1100
+
+
 def test_language_model(spark):
     rows = odd_rows() + [(i, prose(i, 40)) for i in range(30, 60)]
     rows = [r for r in rows if r[0] != 8]  # the plain recursion is slow

@@ -35,8 +35,8 @@ FINE, FINE_WORDS, FINE_SIFT = 32, 128, 0.75
 RETRIES, CROWD = 3, 16
 #: Shingles hashed for all samples at a time.
 BLOCK = 4096
-#: Classes that are sent to all tasks at most, as a few numbers each; more of them are joined by
-#: shuffles, of the texts among others.
+#: Classes, pairs of them or buckets that are sent to all tasks at most, as a few numbers each; more of
+#: them are joined by shuffles, of the texts among others.
 SENT = 2**18
 
 
@@ -162,7 +162,7 @@ def _fine_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _sent(written: DataFrame) -> DataFrame:
-    """A written table of numbers of classes, sent to all tasks if its rows are counted and few enough."""
+    """A written table of numbers of classes or buckets, sent to all tasks if its rows are counted and few enough."""
     return F.broadcast(written) if written.count() <= SENT else written
 
 
@@ -186,10 +186,11 @@ class _Links:
 
     def sifted(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (u, v) whose sizes and odd sketches allow a link."""
-        pairs = pairs.distinct()
-        pairs = pairs.join(self.sketches.alias("a"), F.col("a.node") == F.col("u"))
-        pairs = pairs.join(self.sketches.alias("b"), F.col("b.node") == F.col("v"))
-        return self.slots.put("candidates", pairs.where(_alike(self.percent)).select("u", "v"))
+        pairs = self.slots.put("pairs", pairs.distinct())
+        few = pairs.count() <= SENT
+        met = (F.broadcast(pairs) if few else pairs).join(self.sketches.alias("a"), F.col("a.node") == F.col("u"))
+        met = (F.broadcast(met) if few else met).join(self.sketches.alias("b"), F.col("b.node") == F.col("v"))
+        return self.slots.put("candidates", met.where(_alike(self.percent)).select("u", "v"))
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """The full shingle sets of classes, each from a document that has it.
@@ -197,7 +198,7 @@ class _Links:
         Documents are found by id. Few classes are sent to where the texts are, and of many the
         texts are shuffled once. Where ids repeat, the digest tells which document is meant.
         """
-        wanted = self.classes.join(nodes.distinct(), "node", "left_semi").select("node", "d1", "d2", "least")
+        wanted = self.classes.join(nodes, "node", "left_semi").select("node", "d1", "d2", "least")
         wanted = _sent(self.slots.put("involved", wanted))
         if not self.repeats:
             texts = self.docs.join(wanted.select("node", "least"), F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "text")
@@ -218,14 +219,23 @@ class _Links:
     def checked(self, pairs: DataFrame) -> DataFrame:
         """The links among proposed pairs."""
         tried = self.sifted(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
-        return self.confirmed(tried, self.sets(tried.select(F.explode(F.array("u", "v")).alias("node"))))
+        nodes = tried.select(F.explode(F.array("u", "v")).alias("node"))
+        return self.confirmed(tried, self.sets(F.broadcast(nodes) if tried.count() <= SENT else nodes.distinct()))
 
     def labels(self, links: DataFrame, before: DataFrame | None = None) -> DataFrame:
-        """Components of the links and, with them, of those known before."""
-        if before is not None:
-            links = links.unionByName(before.select(F.col("node").alias("u"), F.col("label").alias("v")))
-        found = self.slots.put("labels", connected(links, self.slots))
-        self.slots.drop("edges", "links", "candidates")
+        """Components of the links and, with them, of those known before, whose labels alone are linked anew."""
+        if before is None:
+            found = connected(links, self.slots, SENT)
+        else:
+            known = before.select(F.col("node").alias("known"), "label")
+            for end in ("u", "v"):
+                links = links.join(known, F.col(end) == F.col("known"), "left").withColumn(end, F.coalesce("label", end)).select("u", "v")
+            more = _sent(self.slots.put("joined", connected(links, self.slots, SENT)))
+            again = more.select(F.col("node").alias("was"), F.col("label").alias("root"))
+            found = before.join(again, F.col("label") == F.col("was"), "left").select("node", F.coalesce("root", "label").alias("label"))
+            found = found.unionByName(more.join(before, "node", "left_anti"))
+        found = _sent(self.slots.put("labels", found))
+        self.slots.drop("edges", "hung", "rooted", "joined", "links", "candidates")
         return found
 
     def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -240,6 +250,7 @@ class _Links:
             F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("labels"), F.sum("size").alias("members")
         )
         tops = tops.where("labels > 1").select("key", F.col("top.label").alias("largest"), "members")
+        tops = _sent(self.slots.put("tops", tops))
         return self.slots.put("open", labelled.join(tops, "key"))
 
     def retried(self, open_: DataFrame, attempt: int) -> DataFrame:
@@ -247,7 +258,7 @@ class _Links:
         crowded = open_.where(F.col("members") > CROWD)
         draw = F.min_by("node", F.xxhash64("node", F.lit(attempt)))
         leaders = crowded.where("label = largest").groupBy("key").agg(draw.alias("leader"))
-        pairs = crowded.where("label <> largest").join(leaders, "key")
+        pairs = crowded.where("label <> largest").join(_sent(self.slots.put("leaders", leaders)), "key")
         return self.checked(pairs.select(F.col("node").alias("u"), F.col("leader").alias("v")))
 
     def unsettled(self, open_: DataFrame) -> DataFrame | None:
@@ -265,7 +276,7 @@ class _Links:
         meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label")) & _alike(self.percent)
         ones = outside.alias("a").join(open_.alias("b"), meet, "left_semi").select("node")
         others = open_.alias("b").join(outside.alias("a"), meet, "left_semi").select("node")
-        sets = self.sets(ones.union(others))
+        sets = self.sets(ones.union(others).distinct())
         if sets.isEmpty():
             return None
         each = sets.select("node", F.explode("shingles").alias("shingle"))
@@ -336,12 +347,12 @@ def labelled(docs: DataFrame, width: int = 5, percent: int = 80, carry: tuple[st
     more = links.unsettled(members)
     if more is not None and not more.isEmpty():
         labels = links.labels(more, labels)
-    slots.drop("open", "sketched", "bounded", "near", "close", "fine", "sets", "involved", "links", "candidates")
+    slots.drop("open", "sketched", "bounded", "near", "close", "fine", "sets", "involved", "links", "pairs", "candidates", "tops", "leaders")
 
     rooted = classes.select("d1", "d2", "least", "node").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     result = slots.put("components", rooted.join(least, "root").select("d1", "d2", "root", "component_id"))
-    slots.drop("classes", "labels", "edges")
+    slots.drop("classes", "labels")
     named = ids.join(result, ["d1", "d2"], "left")
     return named.withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
 
