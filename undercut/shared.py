@@ -57,6 +57,24 @@ def delete_tables(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: While it is set, Spark deletes the shuffle files of a run as soon as that has ended.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Writes inside leave no shuffle files; else these stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANED, None)
+    spark.conf.set(CLEANED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANED)
+        else:
+            spark.conf.set(CLEANED, before)
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df``, written once as a table in the shared folder and read back.
 
@@ -65,7 +83,8 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     whoever owns ``spark.checkpoint.dir``.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with shuffles_deleted(df.sparkSession):
+        df.write.parquet(path)
     if (noted := _NOTED.get()) is not None:
         noted.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
