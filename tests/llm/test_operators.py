@@ -1,6 +1,7 @@
 """Each corpus operator against its contract on the odd cases, and on nothing."""
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tables import multiset, odd_rows, odd_table, plain, prose
 from tokenizers import Tokenizer
 
+from undercut import shared
 from undercut.llm import (
     components,
     conversations,
@@ -315,6 +317,36 @@ def test_language_model(spark):
     assert whole.count() == len(odd_rows()) and whole.where("score >= 0 or base_score >= 0").count() == 0
 
 
+def test_pre_tokens_go_through_the_model_in_bounded_texts(monkeypatch):
+    encode, spaced = tokens._units(BYTES)
+    sizes = []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **how):
+            sizes.extend(len(t) for t in texts)
+            return encode.encode_batch_fast(texts, **how)
+
+    monkeypatch.setattr(tokens, "_units", lambda path: (Watched(), spaced))
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    units = [a + b + c + "x" for a in letters for b in letters for c in letters]
+    for space in (True, False):
+        assert tokens.ids_of_units(BYTES, units, space) == tokens.ids_of(BYTES, [" " * space + u for u in units])
+        assert tokens.ids_of_units(BYTES, [], space) == []
+    assert max(sizes) < 100_000 < sum(sizes)
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(shared.CLEANED, None)
+    counts = shared.materialise(spark.range(1000).selectExpr("id % 7 k").groupBy("k").count(), "counts")
+    assert not files() - before and spark.conf.get(shared.CLEANED, None) == setting
+    assert sum(r["count"] for r in counts.collect()) == 1000
+
+
 def test_stretches_by_their_pre_tokens(monkeypatch):
     """Ids are the library's, also when stretches are forgotten, and stretches of plain pre-tokens do not pass through it whole."""
     rng, whole = random.Random(8), []

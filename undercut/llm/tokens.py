@@ -11,7 +11,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Stretches that a worker remembers, and the characters of the longest of them.
-REMEMBERED, LONGEST = 1_200_000, 64
+REMEMBERED, LONGEST = 400_000, 64
+#: Pre-tokens in one text for the model, which keeps some hundred bytes for each of its tokens until it is read.
+TOGETHER = 8192
 
 
 @functools.lru_cache(maxsize=4)
@@ -54,18 +56,20 @@ def _units(path: str):
 def ids_of_units(path: str, units: list[str], space: bool) -> list[bytes]:
     """Ids of pre-tokens without white space, or with one space in front, by the library's model alone.
 
-    They go through it as one text. Only a written space in front of each, or as a pre-token of its
+    ``TOGETHER`` of them go through it as one text. Only a written space in front of each, or as a pre-token of its
     own between two, has an id that begins with one, which tells where each begins.
     """
-    letters = _letters()
-    written = [u if u.isascii() else u.encode().decode("latin-1").translate(letters) for u in units]
+    letters, out = _letters(), []
     encode, spaced = _units(path)
     mark = " Ġ" if space else " Ġ "
-    (found,) = encode.encode_batch_fast([mark.join(["", *written])], add_special_tokens=False)
-    ids = np.array(found.ids, "<u4")
-    at, data = 4 * np.append(np.flatnonzero(spaced[ids]), len(ids)), ids.tobytes()
-    begins = at[:-1] if space else at[:-1] + 4
-    return [data[a:b] for a, b in zip(begins.tolist(), at[1:].tolist(), strict=True)]
+    for i in range(0, len(units), TOGETHER):
+        written = [u if u.isascii() else u.encode().decode("latin-1").translate(letters) for u in units[i : i + TOGETHER]]
+        (found,) = encode.encode_batch_fast([mark.join(["", *written])], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        at, data = 4 * np.append(np.flatnonzero(spaced[ids]), len(ids)), ids.tobytes()
+        begins = at[:-1] if space else at[:-1] + 4
+        out += [data[a:b] for a, b in zip(begins.tolist(), at[1:].tolist(), strict=True)]
+    return out
 
 
 @functools.lru_cache(maxsize=4)
