@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tables import multiset, odd_rows, odd_table, plain
@@ -230,6 +231,87 @@ def test_graph_search_finds_the_nearest_centre():
     assert np.isclose(least, true, rtol=1e-5).mean() > 0.97
 
 
+class Looked:
+    """A graph that counts how often it is looked up."""
+
+    def __init__(self, graph):
+        self.graph, self.rounds = graph, 0
+
+    def __getitem__(self, nodes):
+        self.rounds += 1
+        return self.graph[nodes]
+
+
+def test_graph_search_ends_when_all_is_seen_and_takes_few_rounds():
+    points = np.random.default_rng(0).normal(size=(8192, 64))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    lifted = nearest._lift(points, 1.0)
+    centres = nearest.balanced_centres(lifted, 512)
+    index = nearest.Index(centres, Looked(nearest.centre_graph(centres)), 1.0, "<f4")
+    seen, least = nearest.nearest_centres(lifted[:200], index, 1.15)
+    assert index.graph.rounds <= 12  # 71 before
+    true = np.sqrt(np.square(lifted[:200, None] - centres[None]).sum(axis=2))
+    assert np.allclose(least, true.min(axis=1), rtol=1e-5)
+    inside = true <= true.min(axis=1, keepdims=True) * 1.15 * 0.9999
+    assert np.isfinite(seen[inside]).mean() > 0.99  # some centres have no edge from a near one
+
+
+def test_boundary_lists_follow_the_rule(monkeypatch):
+    monkeypatch.setattr(nearest, "BOUNDARY", 1.6)
+    rng = np.random.default_rng(5)
+    centres, points = rng.normal(size=(40, 3)).astype(np.float32), rng.normal(size=(500, 3)).astype(np.float32)
+    seen = np.sqrt(np.square(points[:, None] - centres).sum(axis=2))
+    seen[rng.random(seen.shape) < 0.2] = np.inf
+    expect = []
+    for far in seen:
+        chosen = []
+        for j in np.argsort(far, kind="stable"):
+            apart = all(np.square(centres[j] - centres[m]).sum() > far[j] ** 2 for m in chosen)
+            if far[j] <= far.min() * 1.6 and len(chosen) < nearest.COPIES and apart:
+                chosen.append(j)
+        expect.append(chosen)
+    assert nearest.boundary_lists(seen, seen.min(axis=1), nearest.squared_between(centres)) == expect
+    assert {len(lists) for lists in expect} >= {1, 2, 3}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-200, 1e120])
+def test_best_of_blocks(monkeypatch, scale):
+    rng, k = np.random.default_rng(6), 5
+    vectors = rng.integers(-3, 4, size=(900, 4)).astype(float)  # many ties
+    vectors[:, 0] += 4
+    vectors[::7] *= 100
+    ids = [sorted(rng.choice(600, rng.integers(1, 4), replace=False).tolist()) for _ in vectors]  # also in several vectors
+    queries, names = rng.integers(-3, 4, size=(30, 4)).astype(float) + [4, 0, 0, 0], [bytes([i]) for i in range(30)]
+    best = nearest.Best(k)
+    for at in range(0, 900, 60):
+        best.meet(names, queries, vectors[at : at + 60] * scale, pa.array(ids[at : at + 60], pa.list_(pa.int64())))
+        best.waiting += 1 << 16  # cut at each block
+    found = defaultdict(list)
+    for row in best.scored().to_pylist():
+        found[row["query"]].append((row["score"], row["vec_id"]))
+    for name, query in zip(names, queries):
+        scores = {}
+        for vector, of in zip(vectors * scale, ids):
+            for i in of:
+                scores[i] = max(scores.get(i, -np.inf), float(nearest.inner_products(query[None], vector[None])[0]))
+        assert sorted(found[name], key=lambda p: (-p[0], p[1])) == sorted(((s, i) for i, s in scores.items()), key=lambda p: (-p[0], p[1]))[:k]
+    assert best.scored().num_rows == 0
+
+
+def test_exact_products_are_taken_of_few_pairs(monkeypatch):
+    taken, exact = [], nearest.inner_products
+    monkeypatch.setattr(nearest, "inner_products", lambda q, v: taken.append(len(q)) or exact(q, v))
+    rng = np.random.default_rng(7)
+    vectors, queries = rng.normal(size=(8000, 16)), rng.normal(size=(100, 16))
+    best = nearest.Best(10)
+    for at in range(0, 8000, 500):
+        best.meet([bytes([i]) for i in range(100)], queries, vectors[at : at + 500], pa.array([[i] for i in range(at, at + 500)]))
+    got = best.scored().to_pylist()
+    true = queries @ vectors.T
+    assert {(r["query"][0], r["vec_id"]) for r in got} == {(q, i) for q in range(100) for i in np.argsort(-true[q])[:10].tolist()}
+    assert sum(taken) < 0.05 * 100 * 8000  # all pairs before
+
+
 def test_registered_queries(spark):
     from undercut.llm.queries import QUERIES
 

@@ -26,7 +26,7 @@ REACH = 0.97
 BOUNDARY, COPIES = 1.15, 4
 #: Graph edges of a centre: to near ones, and drawn ones that keep the graph in one piece.
 NEAR, FAR = 24, 4
-#: Centres that every search expands at least, and how many at a time.
+#: Centres that every search expands at least, and how many at a time until then.
 BEAM, STRIDE = 16, 4
 #: Vectors and queries of a block: what meets in one row of the join of lists and queries.
 BLOCK, QUERY_BLOCK = 512, 256
@@ -87,8 +87,8 @@ def _lift(vectors: np.ndarray, bound: float, query: bool = False) -> np.ndarray:
 
 
 def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, each summed in one order whatever stands beside it."""
-    return np.einsum("ij,kj->ik", queries, vectors, optimize=False)
+    """Inner products of rows with rows in double precision, each summed in one order whatever stands beside it."""
+    return np.einsum("ij,ij->i", queries, vectors, optimize=False)
 
 
 # Centres and their graph
@@ -137,57 +137,77 @@ def centre_graph(centres: np.ndarray, seed: int = 7) -> np.ndarray:
 def nearest_centres(points: np.ndarray, index: Index, ratio: float) -> tuple[np.ndarray, np.ndarray]:
     """Distances from points to the centres that a search of the graph has seen (others infinite), and the least.
 
-    A search starts at evenly spread centres and expands the nearest open one, at least
-    ``BEAM`` of them, as long as it is within ``ratio`` of the nearest seen.
+    A search starts at evenly spread centres and expands the nearest open ones, at least
+    ``BEAM`` of them, as long as they are within ``ratio`` of the nearest seen; more at a time
+    the longer it lasts. It ends when it has seen every centre, as there is nothing left to find.
     """
     centres, graph, n, k = index.centres, index.graph, len(points), len(index.centres)
     entries = np.unique(np.linspace(0, k - 1, min(k, int(np.sqrt(k)) + 1)).astype(int))
-    seen, open_ = np.full((n, k), np.inf, np.float32), np.full((n, k), np.inf, np.float32)
     squared, own_squared = np.square(centres).sum(axis=1), np.square(points).sum(axis=1)
 
-    def distances(w: np.ndarray, t: np.ndarray) -> np.ndarray:
-        products = np.einsum("ij,ij->i", points[w], centres[t])
-        return np.sqrt(np.maximum(0, own_squared[w] + squared[t] - 2 * products))
+    def table(w: np.ndarray, t: np.ndarray | slice) -> np.ndarray:
+        products = points[w] @ (-2 * centres[t]).T
+        products += own_squared[w, None]
+        products += squared[t]
+        return np.sqrt(np.maximum(products, 0, out=products), out=products)
 
-    seen[:, entries] = np.sqrt(np.maximum(0, own_squared[:, None] + squared[entries] - 2 * points @ centres[entries].T))
-    open_[:, entries] = seen[:, entries]
-    stride, done, active = min(STRIDE, k), 0, np.arange(n)
+    def pairs(w: np.ndarray, t: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(0, own_squared[w] + squared[t] - 2 * np.einsum("ij,ij->i", points[w], centres[t])))
+
+    found, active = np.full((n, k), np.inf, np.float32), np.arange(n)
+    found[:, entries] = table(active, entries)
+    seen, open_ = found, found.copy()  # of the active points
+    stride, done = min(STRIDE, k), 0
     while len(active):
-        own = open_[active]
-        picked = np.argpartition(own, stride - 1, axis=1)[:, :stride]
-        reach = np.take_along_axis(own, picked, axis=1)
-        least = seen[active].min(axis=1)
-        limit = least * ratio if done >= BEAM else np.full(len(active), np.inf)
+        picked = np.argpartition(open_, stride - 1, axis=1)[:, :stride]
+        reach = np.take_along_axis(open_, picked, axis=1)
+        limit = seen.min(axis=1) * ratio if done >= BEAM else np.full(len(active), np.inf)
         going = np.isfinite(reach) & (reach <= limit[:, None])
         rows, columns = np.nonzero(going)
-        who, node = active[rows], picked[rows, columns]
-        open_[who, node] = np.inf
-        to = graph[node]
-        who = np.repeat(who, to.shape[1])
-        to = to.ravel()
-        fresh = ~np.isfinite(seen[who, to])
-        flat = np.unique(who[fresh].astype(np.int64) * k + to[fresh])
-        who, to = flat // k, flat % k
-        for at in range(0, len(who), 1 << 16):
-            w, t = who[at : at + (1 << 16)], to[at : at + (1 << 16)]
-            seen[w, t] = open_[w, t] = distances(w, t)
-        active = active[going.any(axis=1)]
+        node = picked[rows, columns]
+        open_[rows, node] = np.inf
+        fresh = np.zeros((len(active), k), bool)
+        fresh[rows[:, None], graph[node]] = True
+        fresh &= np.isinf(seen)
+        # One product for all is cheaper than single pairs, unless few of it are asked for.
+        if np.count_nonzero(fresh) * 32 >= fresh.size:
+            distances = table(active, slice(None))
+            np.copyto(seen, distances, where=fresh)
+            np.copyto(open_, distances, where=fresh)
+        else:
+            at, to = np.nonzero(fresh)
+            for c in range(0, len(at), 1 << 16):
+                w, t = at[c : c + (1 << 16)], to[c : c + (1 << 16)]
+                seen[w, t] = open_[w, t] = pairs(active[w], t)
+        going = going.any(axis=1) & np.isinf(seen).any(axis=1)
+        if seen is not found:
+            found[active] = seen
+        if not going.all():
+            active, seen, open_ = active[going], seen[going], open_[going]
         done += stride
-    return seen, seen.min(axis=1)
+        stride = min(stride if done < BEAM else 4 * stride, k)
+    return found, found.min(axis=1)
+
 
+def squared_between(centres: np.ndarray) -> np.ndarray:
+    """Squared distances between centres."""
+    squared = np.square(centres).sum(axis=1)
+    between = np.maximum(0, squared[:, None] + squared - 2 * centres @ centres.T)
+    np.fill_diagonal(between, 0)
+    return between
 
-def boundary_lists(seen: np.ndarray, least: np.ndarray, centres: np.ndarray) -> list[list[int]]:
+
+def boundary_lists(seen: np.ndarray, least: np.ndarray, between: np.ndarray) -> list[list[int]]:
     """The lists of each point: its nearest, and near ones that no chosen centre is closer to."""
-    found = []
-    for distances, d in zip(seen, least):
-        near = np.flatnonzero(distances <= d * BOUNDARY)
-        near = near[np.argsort(distances[near], kind="stable")]
-        chosen: list[int] = []
-        for j in near:
-            if len(chosen) < COPIES and all(np.square(centres[j] - centres[m]).sum() > distances[j] ** 2 for m in chosen):
-                chosen.append(int(j))
-        found.append(chosen)
-    return found
+    near = np.where(seen <= least[:, None] * BOUNDARY, seen, np.inf)
+    chosen, rows = np.full((len(seen), COPIES), -1), np.arange(len(seen))
+    for copy in range(COPIES):
+        nearest = near.argmin(axis=1)
+        left = np.isfinite(near[np.arange(len(near)), nearest])
+        rows, near, nearest = rows[left], near[left], nearest[left]
+        chosen[rows, copy] = nearest
+        near[between[nearest] <= np.square(near)] = np.inf
+    return [row[row >= 0].tolist() for row in chosen]
 
 
 # Work on partitions
@@ -195,81 +215,115 @@ def boundary_lists(seen: np.ndarray, least: np.ndarray, centres: np.ndarray) ->
 
 def _assign(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     """Vectors with the lists they are posted to."""
+    between = squared_between(index.centres)
     for whole in batches:
-        for at in range(0, whole.num_rows, 1024):
-            batch = whole.slice(at, 1024)
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
             seen, least = nearest_centres(_lift(_matrix(batch.column("vector").to_pylist(), index.kind), index.bound), index, BOUNDARY)
-            lists = boundary_lists(seen, least, index.centres)
+            lists = boundary_lists(seen, least, between)
             yield batch.append_column("lists", pa.array(lists, pa.list_(pa.int32())))
 
 
 def _route(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     """Queries with the lists that distance ratios leave."""
     for whole in batches:
-        for at in range(0, whole.num_rows, 1024):
-            batch = whole.slice(at, 1024)
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
             seen, least = nearest_centres(_lift(_matrix(batch.column("vector").to_pylist(), index.kind), index.bound, query=True), index, index.ratio)
             lists = [np.flatnonzero(d <= m * index.ratio).tolist() for d, m in zip(seen, least)]
             yield batch.append_column("lists", pa.array(lists, pa.list_(pa.int32())))
 
 
-Scored = list[tuple[float, int]]
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    """Lengths of vectors that are not zero, also where squares are too large or small."""
+    most = np.abs(vectors).max(axis=1)
+    return most * np.sqrt(np.square(vectors / most[:, None]).sum(axis=1))
 
 
-def improved(held: Scored, scores: np.ndarray, ids: list[list[int]], k: int) -> Scored:
-    """The ``k`` best (score, id) of those held and of a block, each id once, ties to lesser ids.
-
-    A vector of the block stands for several ids. Only those that reach what is held are looked at.
-    """
-    found, last = {i: s for s, i in held}, held[-1][0] if len(held) == k else -np.inf
-    near = np.flatnonzero(scores >= last)
-    for j in near[np.argsort(-scores[near], kind="stable")]:
-        score = float(scores[j])
-        if score < last:
-            break
-        for i in ids[j]:
-            found[i] = max(score, found.get(i, score))
-        if last == -np.inf and len(found) >= k:
-            last = score
-    return [(s, i) for i, s in sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k]]
+SCORED = "query binary, score double, vec_id long"
 
 
-SCORED = "query binary, score double, vec_id long"
+class Best:
+    """The ``k`` best (score, id) of each query among the blocks met so far, each id once, ties to lesser ids."""
+
+    def __init__(self, k: int):
+        self.k, self.places, self.least = k, {}, np.empty(0)
+        self.rows, self.added, self.waiting = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)), [], 0
+
+    def meet(self, names: list[bytes], queries: np.ndarray, vectors: np.ndarray, ids: pa.ListArray) -> None:
+        """Takes up the vectors of a block, each of which stands for several ids.
+
+        A single-precision product of scaled vectors, whose error has a bound, leaves out pairs that cannot be
+        among the best; the others get their exact inner products.
+        """
+        place = np.array([self.places.setdefault(name, len(self.places)) for name in names])
+        self.least = np.concatenate([self.least, np.full(len(self.places) - len(self.least), -np.inf)])
+        counts, every = ids.value_lengths().to_numpy(), ids.flatten().to_numpy()
+        with np.errstate(all="ignore"):
+            size, largest = _lengths(queries), _lengths(vectors).max()
+            scaled = (queries / size[:, None]).astype(np.float32) @ (vectors / largest).astype(np.float32).T
+            error = 4 * (queries.shape[1] + 4) * np.finfo(np.float32).eps
+            least = self.least[place] / size / largest
+            new = np.flatnonzero(np.isneginf(least))
+            if len(new) and len(vectors) > self.k and len(np.unique(every)) == len(every):
+                # At least k vectors of the block, and so as many ids, score no less than this, less the error.
+                least[new] = np.partition(scaled[new], len(vectors) - self.k, axis=1)[:, len(vectors) - self.k] - error
+                self.least[place[new]] = least[new] * size[new] * largest
+            # Written so that a pair is kept where numbers are too large or small to be scaled.
+            at, to = np.nonzero(~(scaled < (least - error).astype(np.float32)[:, None]))
+        for cut in range(0, len(at), 1 << 14):
+            q, v = at[cut : cut + (1 << 14)], to[cut : cut + (1 << 14)]
+            scores, n = inner_products(queries[q], vectors[v]), counts[v]
+            # The ids of v stand one after another, from the number of those of earlier vectors on.
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            found = every[np.repeat((np.cumsum(counts) - counts)[v], n) + within]
+            self.added.append((np.repeat(place[q], n), np.repeat(scores, n), found))
+            self.waiting += len(found)
+            if self.waiting > (1 << 16) + 2 * len(self.rows[0]):
+                self._cut()
+
+    def _cut(self) -> None:
+        q, score, i = (np.concatenate(parts) for parts in zip(self.rows, *self.added))
+        order = np.lexsort((-score, i, q))
+        q, score, i = q[order], score[order], i[order]
+        once = np.append(True, (q[1:] != q[:-1]) | (i[1:] != i[:-1]))[: len(q)]
+        q, score, i = q[once], score[once], i[once]
+        order = np.lexsort((i, -score, q))
+        q, score, i = q[order], score[order], i[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        last, kept = rank == self.k - 1, rank < self.k
+        self.least[q[last]] = score[last]
+        self.rows, self.added, self.waiting = (q[kept], score[kept], i[kept]), [], 0
+
+    def scored(self) -> pa.RecordBatch:
+        """What is held, which is then forgotten."""
+        self._cut()
+        (q, score, i), names = self.rows, pa.array(list(self.places), pa.binary())
+        self.__init__(self.k)
+        return pa.RecordBatch.from_arrays([names.take(pa.array(q)), pa.array(score), pa.array(i)], ["query", "score", "vec_id"])
 
 
 def _meet(batches: Iterator[pa.RecordBatch], kind: str, k: int) -> Iterator[pa.RecordBatch]:
     """The best that a task finds for each of its queries, whatever number of lists they meet in it."""
-    held: dict[bytes, Scored] = {}
+    best = Best(k)
     for batch in batches:
-        for row in batch.to_pylist():
-            vectors = _matrix([p["vector"] for p in row["postings"]], kind)
-            ids = [p["ids"] for p in row["postings"]]
-            for query, scores in zip(row["queries"], inner_products(_matrix([q["vector"] for q in row["queries"]], kind), vectors)):
-                held[query["name"]] = improved(held.get(query["name"], []), scores, ids, k)
-            if len(held) > HELD:
-                yield _scored(held)
-                held.clear()
-    yield _scored(held)
-
-
-def _scored(held: dict[bytes, Scored]) -> pa.RecordBatch:
-    names = [name for name, of in held.items() for _ in of]
-    scores, ids = [s for of in held.values() for s, _ in of], [i for of in held.values() for _, i in of]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.binary()), pa.array(scores, pa.float64()), pa.array(ids, pa.int64())], ["query", "score", "vec_id"]
-    )
+        for postings, queries in zip(batch.column("postings"), batch.column("queries")):
+            vectors, ids = (postings.values.field(name) for name in ("vector", "ids"))
+            asked, names = (queries.values.field(name).to_pylist() for name in ("vector", "name"))
+            best.meet(names, _matrix(asked, kind), _matrix(vectors.to_pylist(), kind), ids)
+            if len(best.places) > HELD:
+                yield best.scored()
+    yield best.scored()
 
 
 def _brute(batches: Iterator[pa.RecordBatch], queries: np.ndarray, names: list[bytes], kind: str, k: int) -> Iterator[pa.RecordBatch]:
     """The best of all vectors of a partition for each of a few queries."""
-    held: dict[bytes, Scored] = {name: [] for name in names}
+    best = Best(k)
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            ids = batch.column("ids").to_pylist()
-            for name, scores in zip(names, inner_products(queries, _matrix(batch.column("vector").to_pylist(), kind))):
-                held[name] = improved(held[name], scores, ids, k)
-    yield _scored(held)
+            best.meet(names, queries, _matrix(batch.column("vector").to_pylist(), kind), batch.column("ids"))
+    yield best.scored()
 
 
 # The operator
