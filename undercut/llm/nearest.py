@@ -433,8 +433,9 @@ def search(embeddings: DataFrame, queries: Column, k: int = 20) -> DataFrame:
 
     postings = _blocks(posted.select("name", F.struct("ids", "vector").alias("entry"), F.explode("lists").alias("list")), BLOCK, "postings")
     routed = wanted.select("name", "vector").mapInArrow(functools.partial(_route, index=index), "name binary, vector binary, lists array<int>")
-    routed = routed.select("name", F.struct("name", "vector").alias("entry"), F.explode("lists").alias("list"))
-    met = materialise(postings, "lists").join(materialise(_blocks(routed, QUERY_BLOCK, "queries"), "query-lists"), "list")
+    # Tables of blocks are not written: readers hold thousands of rows at once, and each of these is a whole block.
+    routed = materialise(routed, "routed").select("name", F.struct("name", "vector").alias("entry"), F.explode("lists").alias("list"))
+    met = postings.hint("merge").join(_blocks(routed, QUERY_BLOCK, "queries"), "list")
     scored = met.select("postings", "queries").mapInArrow(functools.partial(_meet, kind=kind, k=most), SCORED)
     top = _top(scored, most).groupBy("query").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("found"))
     # Members of a large class are dealt over several copies of its answer.
